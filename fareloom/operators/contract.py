@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fareloom.functions import times
 from fareloom.functions.identity import offer_id
 from fareloom.sources import registry
-from fareloom.sources.schemas import OFFER, OFFER_COLUMNS, struct_of
+from fareloom.sources.schemas import OFFER, OFFER_COLUMNS
 
 # The published limits of the canonical offer.
 OFFER_ID_PATTERN = "^[a-z]+-(road|air)-[A-Z]{3}-[A-Z]{3}-[0-9]{8}T[0-9]{4}Z$"
@@ -104,7 +104,7 @@ def check_offers(offers: DataFrame) -> DataFrame:
 
 def check_messages(messages: DataFrame, body: str = "value") -> DataFrame:
     """Check raw JSON offers: unknown fields and wrong types are problems too."""
-    offer = F.from_json(F.col(body), struct_of(OFFER))
+    offer = F.from_json(F.col(body), OFFER)
     parsed = messages.withColumn("offer", offer)
     unknown = F.transform(
         F.array_except(
@@ -189,7 +189,7 @@ REQUEST_SCHEMA = (
 
 def check_booking_requests(messages: DataFrame, body: str = "body") -> DataFrame:
     """Validate JSON booking requests; anything not expected is refused."""
-    parsed = messages.withColumn("request", F.from_json(body, struct_of(REQUEST_SCHEMA)))
+    parsed = messages.withColumn("request", F.from_json(body, REQUEST_SCHEMA))
     r = _getter("request")
     p = _getter("request.passenger")
 

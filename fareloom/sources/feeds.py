@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.sources.schemas import FEED_SCHEMAS, struct_of
+from fareloom.sources.schemas import FEED_SCHEMAS
 
 
 def topic(feed: str) -> str:
@@ -23,13 +23,13 @@ def read_json(
     """
     reader = spark.readStream if streaming else spark.read
     mode = "FAILFAST" if strict else "PERMISSIVE"
-    return reader.schema(struct_of(FEED_SCHEMAS[feed])).option("mode", mode).json(path)
+    return reader.schema(FEED_SCHEMAS[feed]).option("mode", mode).json(path)
 
 
 def decode(messages: DataFrame, feed: str, value: str | Column = "value") -> DataFrame:
     """Message bodies (text or bytes) as the feed's columns."""
     body = F.col(value) if isinstance(value, str) else value
-    parsed = F.from_json(body.cast("string"), struct_of(FEED_SCHEMAS[feed]))
+    parsed = F.from_json(body.cast("string"), FEED_SCHEMAS[feed])
     return messages.select(parsed.alias("_r")).select("_r.*")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # The columns each carrier publishes.
 FEED_SCHEMAS = {
     "gigm": (
@@ -69,7 +67,3 @@ PREDICTION = (
     "model_version string, price_at_prediction decimal(12,2), actual_rose boolean, "
     "scored_at timestamp"
 )
-
-
-def struct_of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)

@@ -10,24 +10,33 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.operators.history import new_facts
-from fareloom.sources.schemas import HISTORY, struct_of
+from fareloom.sources.schemas import HISTORY, OFFER_COLUMNS as HISTORY_COLUMNS
 
 DAY = "fetch_day"
-HISTORY_COLUMNS = [f.name for f in struct_of(HISTORY)]
 
 
 def read_history(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
     """History, with the day filter applied to the directories as well."""
-    table = spark.read.schema(struct_of(f"{HISTORY}, {DAY} date")).parquet(path)
+    table = spark.read.schema(f"{HISTORY}, {DAY} date").parquet(path)
     if since is not None:
         table = table.filter((F.col(DAY) >= F.to_date(since)) & (F.col("fetched_at") >= since))
     return table.select(*HISTORY_COLUMNS)
 
 
-def _has_files(spark: SparkSession, path: str) -> bool:
+def as_history(rows: DataFrame) -> DataFrame:
+    """Exactly the stored columns, in their stored types."""
+    types = {"price_ngn": "decimal(12,2)", "duration_min": "int", "seats_left": "int",
+             "depart_time": "timestamp", "fetched_at": "timestamp"}
+    return rows.select(
+        *[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in HISTORY_COLUMNS]
+    )
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists, on whatever file system the path names."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
+    return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
 
 
 def append_history(arrivals: DataFrame, path: str) -> None:
@@ -36,14 +45,14 @@ def append_history(arrivals: DataFrame, path: str) -> None:
     Only the days present in the arrivals are read back for the comparison.
     """
     spark = arrivals.sparkSession
-    fresh = arrivals.select(*HISTORY_COLUMNS)
+    fresh = as_history(arrivals)
     bounds = fresh.agg(
         F.to_date(F.min("fetched_at")).alias("low"), F.to_date(F.max("fetched_at")).alias("high")
     ).first()
     if bounds["low"] is None:
         return
-    if _has_files(spark, path):
-        stored = spark.read.schema(struct_of(f"{HISTORY}, {DAY} date")).parquet(path)
+    if is_folder(spark, path):
+        stored = spark.read.schema(f"{HISTORY}, {DAY} date").parquet(path)
         touched = stored.filter(F.col(DAY).between(bounds["low"], bounds["high"]))
         fresh = new_facts(touched, fresh)
     else:
@@ -67,7 +76,7 @@ def route_latest(latest: DataFrame, origin: str, destination: str) -> DataFrame:
 def read_tsv(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """A tab-separated history export. A malformed line stops the load."""
     return (
-        spark.read.schema(struct_of(HISTORY))
+        spark.read.schema(HISTORY)
         .option("sep", "\t")
         .option("mode", "FAILFAST" if strict else "DROPMALFORMED")
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX")
@@ -77,7 +86,7 @@ def read_tsv(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
 
 def write_tsv(history: DataFrame, path: str) -> None:
     (
-        history.select(*HISTORY_COLUMNS)
+        as_history(history)
         .write.option("sep", "\t")
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         .csv(path)

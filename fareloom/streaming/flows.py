@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,7 +16,7 @@ from fareloom.functions import times
 from fareloom.operators import history as hist
 from fareloom.operators.normalise import to_history, unify
 from fareloom.sources import tables
-from fareloom.sources.schemas import OFFER_COLUMNS
+from fareloom.sources.schemas import OFFER, OFFER_COLUMNS
 
 
 def union_feeds(feeds: Mapping[str, DataFrame], unknown_place: str | None = "PHC") -> DataFrame:
@@ -67,24 +67,33 @@ def write_history(
 def write_latest(
     offers: DataFrame, path: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    """Keep the latest offer per departure as numbered versions under ``path``.
+    """Write each batch's latest offers as its own slice under ``path``.
 
-    Each batch merges the version before it with its arrivals and writes the
-    next one, so a repeated batch rewrites its own version and nothing else.
+    A batch costs its own size, not the size of the state. A repeated batch
+    rewrites its own slice, so it changes nothing.
     """
 
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
+    def slice_of(batch: DataFrame, number: int) -> None:
         stamped = batch.withColumn("observed_at", times.instant(F.col("fetched_at")))
-        before = f"{path}/version={number - 1}"
-        if number > 0 and tables._has_files(spark, before):
-            state = spark.read.schema(stamped.schema).parquet(before)
-            merged = hist.merge_latest(state, stamped, "observed_at")
-        else:
-            merged = hist.latest_offers(stamped, "observed_at")
-        merged.write.mode("overwrite").parquet(f"{path}/version={number}")
-
-    return _start(offers, checkpoint, merge, once)
+        hist.latest_offers(stamped, "observed_at").write.mode("overwrite").parquet(
+            f"{path}/batch={number}"
+        )
+
+    return _start(offers, checkpoint, slice_of, once)
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """Latest offers over all slices; an old replay cannot undo a newer price."""
+    slices = spark.read.schema(f"{OFFER}, observed_at timestamp").parquet(path)
+    return hist.latest_offers(slices, "observed_at").select(*OFFER_COLUMNS)
+
+
+def compact_latest(spark: SparkSession, path: str, target: str) -> None:
+    """Merge all slices into the single slice of a new table."""
+    slices = spark.read.schema(f"{OFFER}, observed_at timestamp").parquet(path)
+    hist.latest_offers(slices, "observed_at").write.mode("overwrite").parquet(
+        f"{target}/batch=0"
+    )
 
 
 def write_offers(
