@@ -12,21 +12,23 @@ HOUR = 3600 * SECOND
 DAY = 24 * HOUR
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
-_ZONED = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}.*(Z|[+-]\d{2}:?\d{2})$"
-_NAIVE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
+# Whole text when it is a timestamp that carries an offset, or one that does not.
+_ZONED = r"^\s*(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}.*(?:Z|[+-]\d{2}:?\d{2}))\s*$"
+_NAIVE = r"^\s*(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?)\s*$"
+
+
+# Expressions here mention their input as few times as possible: Catalyst copies
+# an input expression into every mention when it merges projections and filters.
 
 
 def instant(text: Column) -> Column:
     """The instant an offset-carrying timestamp names; null for anything naive."""
-    trimmed = F.trim(text)
-    colon = F.regexp_replace(trimmed, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    return F.when(trimmed.rlike(_ZONED), colon.try_cast("timestamp"))
+    return F.regexp_extract(text, _ZONED, 1).try_cast("timestamp")
 
 
 def wall_clock_instant(text: Column, place: Column) -> Column:
     """A naive wall-clock time at a place; null when it already has an offset."""
-    trimmed = F.trim(text)
-    naive = F.when(trimmed.rlike(_NAIVE), trimmed.try_cast("timestamp"))
+    naive = F.regexp_extract(text, _NAIVE, 1).try_cast("timestamp")
     return F.to_utc_timestamp(naive, place_zone(place))
 
 
@@ -38,17 +40,11 @@ def parse_local(text: Column, pattern: str, zone: str) -> Column:
 def render_local(ts: Column, zone: Column | str, zero: str = "+00:00") -> Column:
     """Local time with its UTC offset; ``zero`` is how no offset is written."""
     local = F.from_utc_timestamp(ts, zone)
-    minutes = ((F.unix_seconds(local) - F.unix_seconds(ts)) / 60).cast("int")
-    size = F.abs(minutes)
-    offset = F.concat(
-        F.when(minutes < 0, "-").otherwise("+"),
-        F.lpad((size / 60).cast("int").cast("string"), 2, "0"),
-        F.lit(":"),
-        F.lpad((size % 60).cast("string"), 2, "0"),
-    )
-    return F.concat(
-        F.date_format(local, ISO_SECONDS), F.when(minutes == 0, zero).otherwise(offset)
-    )
+    offset = F.unix_seconds(local) - F.unix_seconds(ts)
+    size = F.date_format(F.timestamp_seconds(F.abs(offset)), "HH:mm")
+    sign = F.substring(F.lit("-++"), F.signum(offset).cast("int") + 2, F.lit(1))
+    shown = F.concat(F.date_format(local, ISO_SECONDS), sign, size)
+    return shown if zero == "+00:00" else F.regexp_replace(shown, r"[+]00:00$", zero)
 
 
 def render_departure(ts: Column, place: Column) -> Column:

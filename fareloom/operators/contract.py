@@ -35,30 +35,26 @@ def problems(rules: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*broken))
 
 
-def _if_present(value: Column, good: Column) -> Column:
-    """A rule that says nothing about a missing value."""
-    return value.isNull() | good
+def _if_present(good: Column) -> Column:
+    """A rule that says nothing about a missing value, for which it is null."""
+    return F.coalesce(good, F.lit(True))
 
 
 def shape_problems(row: str | None = None) -> Column:
     c = _getter(row)
     rules = {f"required:{name}": c(name).isNotNull() for name in OFFER_COLUMNS}
     rules |= {
-        "pattern:offer_id": _if_present(c("offer_id"), c("offer_id").rlike(OFFER_ID_PATTERN)),
-        "length:carrier": _if_present(c("carrier"), F.length(c("carrier")).between(2, 40)),
-        "enum:mode": _if_present(c("mode"), c("mode").isin("road", "air")),
-        "pattern:origin": _if_present(c("origin"), c("origin").rlike(PLACE_PATTERN)),
-        "pattern:destination": _if_present(
-            c("destination"), c("destination").rlike(PLACE_PATTERN)
-        ),
-        "range:duration_min": _if_present(
-            c("duration_min"), c("duration_min").between(1, MAX_DURATION_MIN)
-        ),
+        "pattern:offer_id": _if_present(c("offer_id").rlike(OFFER_ID_PATTERN)),
+        "length:carrier": _if_present(F.length(c("carrier")).between(2, 40)),
+        "enum:mode": _if_present(c("mode").isin("road", "air")),
+        "pattern:origin": _if_present(c("origin").rlike(PLACE_PATTERN)),
+        "pattern:destination": _if_present(c("destination").rlike(PLACE_PATTERN)),
+        "range:duration_min": _if_present(c("duration_min").between(1, MAX_DURATION_MIN)),
         "range:price_ngn": _if_present(
-            c("price_ngn"), (c("price_ngn") > 0) & (c("price_ngn") <= MAX_PRICE_NGN)
+            (c("price_ngn") > 0) & (c("price_ngn") <= MAX_PRICE_NGN)
         ),
-        "range:seats_left": _if_present(c("seats_left"), c("seats_left").between(0, MAX_SEATS)),
-        "length:booking_url": _if_present(c("booking_url"), F.length(c("booking_url")) > 0),
+        "range:seats_left": _if_present(c("seats_left").between(0, MAX_SEATS)),
+        "length:booking_url": _if_present(F.length(c("booking_url")) > 0),
     }
     return problems(rules)
 
@@ -73,15 +69,13 @@ def meaning_problems(row: str | None = None) -> Column:
         "same_place": origin != dest,
         "unsupported_route": (origin == dest) | registry.supported_route(origin, dest),
         "unknown_place": known,
-        "impossible_mode:origin": F.coalesce(registry.mode_possible(origin, mode), F.lit(True)),
-        "impossible_mode:destination": F.coalesce(
-            registry.mode_possible(dest, mode), F.lit(True)
-        ),
+        "impossible_mode:origin": _if_present(registry.mode_possible(origin, mode)),
+        "impossible_mode:destination": _if_present(registry.mode_possible(dest, mode)),
         "no_offset:depart_time": depart.isNotNull(),
         "no_offset:fetched_at": fetched.isNotNull(),
-        "already_departed": _if_present(depart, _if_present(fetched, depart > fetched)),
+        "already_departed": _if_present(depart > fetched),
         "unknown_carrier": registry.carrier_key(c("carrier")).isNotNull(),
-        "wrong_offer_id": _if_present(expected, c("offer_id") == expected),
+        "wrong_offer_id": _if_present(c("offer_id") == expected),
     }
     return problems(rules)
 
@@ -196,9 +190,6 @@ def check_booking_requests(messages: DataFrame, body: str = "body") -> DataFrame
     def long_enough(value: Column, low: int, high: int) -> Column:
         return F.length(value).between(low, high)
 
-    def optional(value: Column, good: Column) -> Column:
-        return _if_present(value, good)
-
     extra = F.size(
         F.array_except(
             F.json_object_keys(body), F.array(*[F.lit(n) for n in REQUEST_FIELDS])
@@ -214,18 +205,16 @@ def check_booking_requests(messages: DataFrame, body: str = "body") -> DataFrame
         "unexpected_field": extra == 0,
         "offer_id": long_enough(r("offer_id"), 5, 120),
         "quoted_price_ngn": r("quoted_price_ngn") > 0,
-        "idempotency_key": optional(
-            r("idempotency_key"), long_enough(r("idempotency_key"), 8, 120)
-        ),
+        "idempotency_key": _if_present(long_enough(r("idempotency_key"), 8, 120)),
         "passenger": r("passenger").isNotNull(),
         "passenger_unexpected_field": extra_person == 0,
         "given_name": long_enough(p("given_name"), 1, 60),
         "family_name": long_enough(p("family_name"), 1, 60),
         "email_length": long_enough(p("email"), 3, 200),
         "email": F.trim(p("email")).rlike(EMAIL_PATTERN),
-        "born_on": optional(p("born_on"), p("born_on").rlike(r"^\d{4}-\d{2}-\d{2}$")),
-        "phone": optional(p("phone"), F.length(p("phone")) <= 20),
-        "title": optional(p("title"), F.length(p("title")) <= 10),
-        "gender": optional(p("gender"), p("gender").rlike("^[mf]$")),
+        "born_on": _if_present(p("born_on").rlike(r"^\d{4}-\d{2}-\d{2}$")),
+        "phone": _if_present(F.length(p("phone")) <= 20),
+        "title": _if_present(F.length(p("title")) <= 10),
+        "gender": _if_present(p("gender").rlike("^[mf]$")),
     }
     return parsed.withColumn("request_errors", problems(rules))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.sources.registry import known_place, lookup
+from fareloom.sources.registry import lookup
 
 # The spellings understood for each place.
 PLACE_WORDS = {
@@ -153,26 +153,23 @@ def preference(text: Column) -> Column:
 def with_route(queries: DataFrame, text: str = "text") -> DataFrame:
     """Add ``named``, ``origin`` and ``destination`` (empty when not understood)."""
     named, start, end = F.col("named"), F.col("_from"), F.col("_to")
-    first, count = F.get("named", F.lit(0)), F.size("named")
+    first, many = F.get("named", F.lit(0)), F.size("named") >= 2
 
     def other_than(code: Column) -> Column:
         return F.get(F.filter(named, lambda p: p != code), F.lit(0))
 
-    both = start.isNotNull() & end.isNotNull()
-    from_many = start.isNotNull() & (count >= 2)
-    origin = (
-        F.when(both, start)
-        .when(end.isNotNull(), F.coalesce(other_than(end), F.lit("LOS")))
-        .when(from_many, start)
-        .when(count >= 2, first)
-        .otherwise(F.lit("LOS"))
+    # Words before places beat the order of places; Lagos is the default end.
+    origin = F.coalesce(
+        F.when(end.isNotNull(), F.coalesce(start, other_than(end), F.lit("LOS"))),
+        F.when(many, F.coalesce(start, first)),
+        F.lit("LOS"),
     )
-    destination = (
-        F.when(end.isNotNull(), end)
-        .when(from_many, F.coalesce(other_than(start), F.lit("")))
-        .when(count >= 2, F.get("named", F.lit(1)))
-        .when((count == 1) & (first != "LOS"), first)
-        .otherwise(F.lit(""))
+    second = F.when(start.isNull(), F.get("named", F.lit(1))).otherwise(other_than(start))
+    destination = F.coalesce(
+        end,
+        F.when(many, F.coalesce(second, F.lit(""))),
+        F.nullif(first, F.lit("LOS")),
+        F.lit(""),
     )
     return (
         queries.withColumns(
@@ -215,13 +212,12 @@ def parse(queries: DataFrame, text: str = "text", today: str = "today") -> DataF
             F.when(
                 ~F.length(text).between(MIN_TEXT, MAX_TEXT), "text must be 2 to 300 characters"
             ),
-            F.when(origin == "", "no origin could be identified"),
-            F.when((origin != "") & ~known_place(origin), "origin is not covered"),
             F.when(lost, "no destination could be identified"),
-            F.when(~lost & ~known_place(dest), "destination is not covered"),
             F.when(origin == dest, "origin and destination are the same place"),
+            # Only a date written out can be wrong; the others are computed.
             F.when(
-                F.col("date").isNotNull() & F.col("date").try_cast("date").isNull(),
+                _group(_clean(F.col(text)), _ISO, 1).isNotNull()
+                & F.col("date").try_cast("date").isNull(),
                 "date is not a calendar date",
             ),
         )

@@ -55,14 +55,25 @@ def ranked(offers: DataFrame, kind: str, limit: int | None = None) -> DataFrame:
     return out if limit is None else out.limit(limit)
 
 
-def top_per(offers: DataFrame, by: list[str], kind: str, limit: int = MAX_LIMIT) -> DataFrame:
-    """The best ``limit`` offers of every group, with their ``rank``.
+def top_lists(offers: DataFrame, by: list[str], limit: int = MAX_LIMIT) -> DataFrame:
+    """Both lists of every group: the best ``limit`` offers with ``kind`` and ``rank``.
 
-    A row_number cut is applied inside each map task before the shuffle, so a
-    popular route sends at most ``limit`` rows per task.
+    One scan and one shuffle serve both orders. The row_number cut is applied
+    inside each map task before that shuffle, so a popular route sends at most
+    ``limit`` rows per task and list.
     """
-    order = Window.partitionBy(*by).orderBy(*ORDERS[kind])
-    return offers.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
+    price, door = F.col("price_ngn"), F.col("door_to_door_min").cast("double")
+    keys = F.array(
+        F.struct(F.lit("cheapest").alias("kind"), price.alias("_k1"), door.alias("_k2")),
+        F.struct(F.lit("fastest").alias("kind"), door.alias("_k1"), price.alias("_k2")),
+    )
+    return cut(offers.select("*", F.inline(keys)), ["kind", *by], limit)
+
+
+def cut(keyed: DataFrame, by: list[str], limit: int) -> DataFrame:
+    """The first ``limit`` rows of each group of a keyed list."""
+    order = Window.partitionBy(*by).orderBy("_k1", "_k2", "carrier", "offer_id")
+    return keyed.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
 
 
 def offer_labels(annotated: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fareloom.functions import times
 from fareloom.operators import contract, intents
 from fareloom.operators.ranking import (
-    DEFAULT_LIMIT, MAX_LIMIT, ORDERS, STALE_AFTER_SECONDS, annotate, top_per, upcoming,
+    DEFAULT_LIMIT, MAX_LIMIT, STALE_AFTER_SECONDS, annotate, cut, top_lists, upcoming,
 )
 from fareloom.sources.registry import known_place, supported_route
 
@@ -30,15 +30,15 @@ def on_sale(latest: DataFrame, now: Column, stale_after: int = STALE_AFTER_SECON
     )
 
 
-def board(sale: DataFrame, kind: str, limit: int = MAX_LIMIT) -> DataFrame:
-    """The best offers per route and date, and per route over all dates.
+def board(sale: DataFrame, limit: int = MAX_LIMIT) -> DataFrame:
+    """Both lists per route and date, and per route over all dates.
 
-    The all-dates list is cut from the per-date lists, so it costs nothing like
-    a second pass over the offers.
+    The all-dates lists are cut from the per-date lists, so they cost nothing
+    like a second pass over the offers.
     """
-    per_date = top_per(sale, ROUTE_DATE, kind, limit)
+    per_date = top_lists(sale, ROUTE_DATE, limit)
     overall = per_date.drop("rank").withColumn("board_date", F.lit(ANY_DATE))
-    return per_date.unionByName(top_per(overall, ROUTE_DATE, kind, limit))
+    return per_date.unionByName(cut(overall, ["kind", *ROUTE_DATE], limit)).drop("_k1", "_k2")
 
 
 def availability(sale: DataFrame) -> DataFrame:
@@ -81,12 +81,10 @@ def search_lists(
     asked = checked(requests).filter("status = 'ok'").select(
         "request_id", "limit", *ROUTE_DATE
     )
-    lists = None
-    for kind in ORDERS:
-        rows = board(sale, kind).withColumn("kind", F.lit(kind))
-        lists = rows if lists is None else lists.unionByName(rows)
-    return asked.join(lists, ROUTE_DATE).filter(F.col("rank") <= F.col("limit")).drop(
-        "limit", "board_date"
+    return (
+        asked.join(board(sale), ROUTE_DATE)
+        .filter(F.col("rank") <= F.col("limit"))
+        .drop("limit", "board_date")
     )
 
 

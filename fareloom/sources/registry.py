@@ -107,8 +107,8 @@ def supported_route(origin: Column, destination: Column) -> Column:
 
 
 def mode_possible(code: Column, mode: Column) -> Column:
-    """Air needs an airport; null for a place not in the registry."""
-    return F.when(known_place(code), (mode != "air") | has_airport(code))
+    """Air needs an airport; null for flights at a place not in the registry."""
+    return (mode != "air") | has_airport(code)
 
 
 def carrier_key(carrier: Column) -> Column:
