@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 
 from fareloom.functions.times import HOUR
 
-# A departure with more observations than this is not sorted in one task.
+# A departure with more observations than HOT_ROWS is not sorted in one task, and
+# one with more than DENSE_ROWS in one span is not scanned frame by frame.
 HOT_ROWS = 50_000
+DENSE_ROWS = 1_000
+SPAN = 6 * HOUR
 # The most hot keys listed on the driver; past it every key is treated as hot.
 MAX_HOT_KEYS = 1_000
 
@@ -35,7 +38,7 @@ def neighbours(
     observed_us: str,
     take: Sequence[str],
     directions: Sequence[str] = ("prev", "next"),
-    span_us: int = 6 * HOUR,
+    span_us: int = SPAN,
 ) -> DataFrame:
     """Probes with ``prev`` and/or ``next``: the observation at or before / after.
 
@@ -124,11 +127,7 @@ def self_lookups(
     (key, at) must be unique. Ordinary keys go through one shuffle and one sort
     for all lookups together; hot keys, found by a count first, are cut by time.
     """
-    hot = [
-        r[0]
-        for r in df.groupBy(key).count().filter(F.col("count") > hot_rows)
-        .select(key).limit(MAX_HOT_KEYS + 1).collect()
-    ]
+    hot = hot_keys(df, key, at, hot_rows)
     if not hot:
         return _by_frames(df, key, at, value, lookups)
     if len(hot) > MAX_HOT_KEYS:
@@ -138,6 +137,18 @@ def self_lookups(
     return cold.unionByName(_by_spans(df.filter(is_hot), key, at, value, lookups))
 
 
+def hot_keys(df: DataFrame, key: str, at: str, hot_rows: int = HOT_ROWS) -> list:
+    """The keys to cut by time; one more than MAX_HOT_KEYS means too many to list.
+
+    Counted per span first, which the scan combines before it shuffles.
+    """
+    span = F.floor(F.unix_micros(at) / SPAN)
+    counts = df.groupBy(key, span.alias("_span")).count().groupBy(key)
+    sizes = counts.agg(F.sum("count").alias("n"), F.max("count").alias("densest"))
+    hot = sizes.filter((F.col("n") > hot_rows) | (F.col("densest") > DENSE_ROWS))
+    return [row[0] for row in hot.select(key).limit(MAX_HOT_KEYS + 1).collect()]
+
+
 def _by_frames(df, key, at, value, lookups) -> DataFrame:
     """Bounded RANGE frames over one (key, time) ordering."""
     us = F.unix_micros(at)

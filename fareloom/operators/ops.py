@@ -32,28 +32,23 @@ def rate_limited(
 ) -> DataFrame:
     """The requests beyond their client's allowance in a fixed window.
 
-    The window function keeps no more than ``limit`` rows of each group, and
-    Spark applies that cut before the shuffle, so one client flooding one path
-    never gathers in one task. Everything after the last allowed row is over.
+    Only the largest allowance's worth of rows of each group is ranked, a cut
+    Spark applies before the shuffle, so one client flooding one path never
+    gathers in one task. Everything after the last allowed row is over.
     """
     counted = requests.filter(~F.col("path").isin(EXEMPT)).withColumn(
         "window_start", F.window("ts", window)["start"]
     ).withColumn("_limit", allowance(F.col("method"), F.col("path")))
     group = ["client", "path", "window_start", "_limit"]
     place = F.struct(*order)
-    last_allowed = None
-    for limit in sorted({DEFAULT_LIMIT, *LIMITS.values()}):
-        ranked = (
-            counted.filter(F.col("_limit") == limit)
-            .select(*group, *order)
-            .withColumn(
-                "_n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-            )
-            .filter(F.col("_n") <= limit)
-            .filter(F.col("_n") == limit)
-            .select(*group, place.alias("_last_allowed"))
-        )
-        last_allowed = ranked if last_allowed is None else last_allowed.unionByName(ranked)
+    ranks = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    last_allowed = (
+        counted.select(*group, *order)
+        .withColumn("_n", ranks)
+        .filter(F.col("_n") <= max(DEFAULT_LIMIT, *LIMITS.values()))
+        .filter(F.col("_n") == F.col("_limit"))
+        .select(*group, place.alias("_last_allowed"))
+    )
     over = counted.join(last_allowed, group)
     return over.filter(place > F.col("_last_allowed")).select(
         *requests.columns, "window_start", F.col("_limit").alias("allowed")

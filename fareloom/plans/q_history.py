@@ -430,15 +430,15 @@ def price_spread(v):
 
 @question(
     "price_outliers",
-    S.with_views(S.LISTING)
+    _OBS
     + """
-  SELECT offer_id, carrier, price_ngn FROM latest JOIN (
+  SELECT event_id, carrier, price_ngn FROM obs JOIN (
     SELECT carrier, quantile_cont(price_ngn, 0.25) AS q1, quantile_cont(price_ngn, 0.75) AS q3
-    FROM latest GROUP BY 1) USING (carrier)
+    FROM obs GROUP BY 1) USING (carrier)
   WHERE price_ngn NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)""",
 )
 def price_outliers(v):
-    return dashboard.price_outliers(v.latest).select("offer_id", "carrier", "price_ngn")
+    return dashboard.price_outliers(v.obs).select("event_id", "carrier", "price_ngn")
 
 
 @question(

@@ -27,16 +27,18 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(
-            "set spark.checkpoint.dir to a folder every executor can reach"
-        )
+    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+
+    Only a local session that names none gets a temporary one.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     fallback = tempfile.mkdtemp(prefix="fareloom-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
+    context.setCheckpointDir(fallback)
     return fallback
 
 
@@ -45,16 +47,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/fareloom-{name}-{uuid.uuid4().hex}"
 
 
-def build_local(app: str = "fareloom", cpus: str = "*", partitions: int = 8) -> SparkSession:
+def build_local(
+    app: str = "fareloom", cpus: str = "*", partitions: int = 8, shared: str | None = None
+) -> SparkSession:
     """A local session for tests and the bench."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return prepare(spark)

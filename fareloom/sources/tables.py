@@ -57,14 +57,15 @@ def append_history(arrivals: DataFrame, path: str) -> None:
         fresh = new_facts(touched, fresh)
     else:
         fresh = new_facts(fresh.limit(0), fresh)
-    # Rows of one day are spread over many writers, so a busy day is no bottleneck.
-    fresh.withColumn(DAY, F.to_date("fetched_at")).write.mode("append").partitionBy(DAY).parquet(
-        path
-    )
+    # Rebalancing gathers the rows of a small day and splits those of a large one.
+    fresh.withColumn(DAY, F.to_date("fetched_at")).hint("rebalance", DAY).write.mode(
+        "append"
+    ).partitionBy(DAY).parquet(path)
 
 
 def write_latest(latest: DataFrame, path: str) -> None:
-    latest.write.mode("overwrite").partitionBy("origin", "destination").parquet(path)
+    route = ["origin", "destination"]
+    latest.hint("rebalance", *route).write.mode("overwrite").partitionBy(*route).parquet(path)
 
 
 def route_latest(latest: DataFrame, origin: str, destination: str) -> DataFrame:
