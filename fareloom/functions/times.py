@@ -13,8 +13,9 @@ DAY = 24 * HOUR
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 # Whole text when it is a timestamp that carries an offset, or one that does not.
-_ZONED = r"^\s*(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}.*(?:Z|[+-]\d{2}:?\d{2}))\s*$"
-_NAIVE = r"^\s*(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?)\s*$"
+_CLOCK = r"\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?"
+_ZONED = rf"^\s*(\d{{4}}-\d{{2}}-\d{{2}}[T ]{_CLOCK}(?:Z|[+-]\d{{2}}:?\d{{2}}))\s*$"
+_NAIVE = rf"^\s*(\d{{4}}-\d{{2}}-\d{{2}}(?:[T ]{_CLOCK})?)\s*$"
 
 
 # Expressions here mention their input as few times as possible: Catalyst copies

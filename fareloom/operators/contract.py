@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fareloom.functions import times
 from fareloom.functions.identity import offer_id
+from fareloom.functions.staging import evaluated_once
 from fareloom.sources import registry
 from fareloom.sources.schemas import OFFER, OFFER_COLUMNS
 
@@ -27,12 +28,21 @@ UPDATABLE = [
 ]
 
 
-def problems(rules: dict[str, Column]) -> Column:
-    """Codes of the rules a row breaks."""
+def _codes(rules: dict[str, Column]) -> Column:
+    """Codes of the rules a row breaks, joined with a bar."""
     broken = [
         F.when(~F.coalesce(good, F.lit(False)), F.lit(code)) for code, good in rules.items()
     ]
-    return F.array_compact(F.array(*broken))
+    return F.concat_ws("|", *broken)
+
+
+def _as_array(codes: Column) -> Column:
+    return F.array_remove(F.split(codes, r"\|"), "")
+
+
+def problems(rules: dict[str, Column]) -> Column:
+    """Codes of the rules a row breaks, as an array."""
+    return _as_array(_codes(rules))
 
 
 def _if_present(good: Column) -> Column:
@@ -40,7 +50,7 @@ def _if_present(good: Column) -> Column:
     return F.coalesce(good, F.lit(True))
 
 
-def shape_problems(row: str | None = None) -> Column:
+def _shape_rules(row: str | None) -> dict[str, Column]:
     c = _getter(row)
     rules = {f"required:{name}": c(name).isNotNull() for name in OFFER_COLUMNS}
     rules |= {
@@ -56,16 +66,16 @@ def shape_problems(row: str | None = None) -> Column:
         "range:seats_left": _if_present(c("seats_left").between(0, MAX_SEATS)),
         "length:booking_url": _if_present(F.length(c("booking_url")) > 0),
     }
-    return problems(rules)
+    return rules
 
 
-def meaning_problems(row: str | None = None) -> Column:
+def _meaning_rules(row: str | None) -> dict[str, Column]:
     c = _getter(row)
     origin, dest, mode = c("origin"), c("destination"), c("mode")
-    depart, fetched = times.instant(c("depart_time")), times.instant(c("fetched_at"))
+    depart, fetched = F.col("_depart"), F.col("_fetched")
     expected = offer_id(c("carrier"), mode, origin, dest, depart)
     known = registry.known_place(origin) & registry.known_place(dest)
-    rules = {
+    return {
         "same_place": origin != dest,
         "unsupported_route": (origin == dest) | registry.supported_route(origin, dest),
         "unknown_place": known,
@@ -77,22 +87,33 @@ def meaning_problems(row: str | None = None) -> Column:
         "unknown_carrier": registry.carrier_key(c("carrier")).isNotNull(),
         "wrong_offer_id": _if_present(c("offer_id") == expected),
     }
-    return problems(rules)
 
 
 def _getter(row: str | None):
     return (lambda name: F.col(name)) if row is None else (lambda name: F.col(f"{row}.{name}"))
 
 
-def contract_problems(row: str | None = None) -> Column:
-    """Shape first; meaning and identity only where the shape is good."""
-    shape = shape_problems(row)
-    return F.when(F.size(shape) > 0, shape).otherwise(meaning_problems(row))
+def _checked(frame: DataFrame, row: str | None, raw: Column) -> DataFrame:
+    """Add ``contract_errors``: raw and shape problems, else those of meaning.
+
+    Built in steps, so the instants and the shape verdict are computed once.
+    """
+    c = _getter(row)
+    staged = frame.withColumns(
+        {
+            "_depart": times.instant(c("depart_time")),
+            "_fetched": times.instant(c("fetched_at")),
+            "_shape": F.concat_ws("|", F.nullif(raw, F.lit("")), _codes(_shape_rules(row))),
+        }
+    )
+    meaning = F.when(F.col("_shape") == "", _codes(_meaning_rules(row)))
+    errors = {"contract_errors": _as_array(F.coalesce(meaning, "_shape"))}
+    return evaluated_once(staged, errors).drop("_depart", "_fetched", "_shape")
 
 
 def check_offers(offers: DataFrame) -> DataFrame:
     """Add ``contract_valid`` and ``contract_errors``."""
-    checked = offers.withColumn("contract_errors", contract_problems())
+    checked = _checked(offers, None, F.lit(""))
     return checked.withColumn("contract_valid", F.size("contract_errors") == 0)
 
 
@@ -107,22 +128,20 @@ def check_messages(messages: DataFrame, body: str = "value") -> DataFrame:
         ),
         lambda name: F.concat(F.lit("unexpected:"), name),
     )
-    numbers = {"duration_min", "price_ngn", "seats_left"}
     mistyped = [
         F.when(
-            F.get_json_object(body, f"$.{name}").isNotNull()
-            & F.col(f"offer.{name}").isNull(),
+            F.get_json_object(body, f"$.{name}").isNotNull() & F.col(f"offer.{name}").isNull(),
             F.lit(f"type:{name}"),
         )
-        for name in OFFER_COLUMNS
-        if name in numbers
+        for name in ("duration_min", "price_ngn", "seats_left")
     ]
-    raw = F.concat(unknown, F.array_compact(F.array(*mistyped)))
-    return parsed.withColumn(
+    raw = F.concat_ws("|", unknown, *mistyped)
+    checked = _checked(parsed, "offer", raw)
+    return checked.withColumn(
         "contract_errors",
-        F.when(F.json_object_keys(body).isNull(), F.array(F.lit("not_an_object")))
-        .when(F.size(raw) > 0, F.concat(raw, shape_problems("offer")))
-        .otherwise(contract_problems("offer")),
+        F.when(F.json_object_keys(body).isNull(), F.array(F.lit("not_an_object"))).otherwise(
+            F.col("contract_errors")
+        ),
     )
 
 

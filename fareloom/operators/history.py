@@ -1,12 +1,13 @@
 """Price history and latest state: what to keep of each observation.
 
-Both reductions are plain aggregates, so a departure that is redelivered or
-observed far more often than any other is combined before it is shuffled.
+Both reductions keep at most one row per key and map task, so a departure that
+is redelivered or observed far more often than any other is reduced before it is
+shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ["offer_id", "fetched_at"]
@@ -16,12 +17,16 @@ def newest(df: DataFrame, key: str | list[str], order: str | Column) -> DataFram
     """One row per key, the one with the greatest ``order``.
 
     Rows that tie on ``order`` are told apart by their whole content, so the
-    answer does not depend on how the input was split.
+    answer does not depend on how the input was split. Each map task keeps one
+    row per key before the shuffle.
     """
     keys = [key] if isinstance(key, str) else key
     rank = F.col(order) if isinstance(order, str) else order
-    best = F.max(F.struct(rank.alias("_rank"), F.struct(*df.columns).alias("row")))
-    return df.groupBy(*keys).agg(best.alias("_best")).select("_best.row.*")
+    best_first = Window.partitionBy(*keys).orderBy(
+        F.desc("_rank"), *[F.desc(c) for c in df.columns if c not in keys]
+    )
+    numbered = df.withColumn("_rank", rank).withColumn("_n", F.row_number().over(best_first))
+    return numbered.filter(F.col("_n") == 1).select(*df.columns)
 
 
 def latest_offers(offers: DataFrame, observed: str | Column = "fetched_at") -> DataFrame:

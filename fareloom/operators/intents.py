@@ -6,9 +6,13 @@ search box, with no Python per row.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.functions.staging import evaluated_once
 from fareloom.sources.registry import lookup
 
 # The spellings understood for each place.
@@ -63,12 +67,6 @@ def _clean(text: Column) -> Column:
     return F.trim(F.lower(text))
 
 
-def _group(text: Column, pattern: str, group: int) -> Column:
-    """One group of the first match; null when there is none."""
-    found = F.regexp_extract(text, pattern, group)
-    return F.when(found != "", found)
-
-
 def places_named(text: Column) -> Column:
     """Codes of the places a text names, in order of appearance."""
     words = F.regexp_extract_all(_clean(text), F.lit(_PLACE), 1)
@@ -77,7 +75,7 @@ def places_named(text: Column) -> Column:
 
 def place_after(text: Column, word: str) -> Column:
     pattern = _AFTER.format(word=word, places=_any(PLACE_WORDS))
-    return lookup(PLACE_WORDS, _group(_clean(text), pattern, 1))
+    return lookup(PLACE_WORDS, F.regexp_extract(_clean(text), pattern, 1))
 
 
 def _step(today: Column, days: Column | int) -> Column:
@@ -100,43 +98,56 @@ def _next_occurrence(today: Column, month: Column, day: Column) -> Column:
     return F.date_format(picked.otherwise(following), "yyyy-MM-dd")
 
 
-def travel_date(text: Column, today: Column) -> Column:
-    """The day a text asks for, as yyyy-MM-dd text; null when it names none.
-
-    The first kind of phrase that matches decides, valid or not.
-    """
+def _date_parts(text: Column) -> dict[str, Column]:
+    """What the text says about a date; empty text or null where it says nothing."""
     t = _clean(text)
-    iso = _group(t, _ISO, 1)
-    weekday = lookup(WEEKDAYS, _group(t, _WEEKDAY, 2))
-    is_next = F.regexp_extract(t, _WEEKDAY, 1) == "next"
-    gap = F.pmod(weekday - F.weekday(today), F.lit(7))
-    ahead = F.when(gap == 0, 7).when(is_next, gap + 7).otherwise(gap)
-    dm_day, dm_month = _group(t, _DAY_MONTH, 1), _group(t, _DAY_MONTH, 2)
-    md_month, md_day = _group(t, _MONTH_DAY, 1), _group(t, _MONTH_DAY, 2)
-    nth = _group(t, _NTH, 1)
-
-    def number(digits: Column) -> Column:
-        return digits.try_cast("int")
-
+    found = F.regexp_extract
+
+    def mentions(*phrases: str) -> Column:
+        return reduce(or_, [F.contains(t, F.lit(p)) for p in phrases])
+
+    return {
+        "_iso": found(t, _ISO, 1),
+        "_plain": F.when(mentions("day after tomorrow"), 2)
+        .when(mentions("today", "tonight"), 0)
+        .when(mentions("tomorrow"), 1),
+        "_weekday": lookup(WEEKDAYS, found(t, _WEEKDAY, 2)),
+        "_is_next": found(t, _WEEKDAY, 1) == "next",
+        "_dm_month": lookup(MONTHS, found(t, _DAY_MONTH, 2)),
+        "_dm_day": found(t, _DAY_MONTH, 1).try_cast("int"),
+        "_md_month": lookup(MONTHS, found(t, _MONTH_DAY, 1)),
+        "_md_day": found(t, _MONTH_DAY, 2).try_cast("int"),
+        "_nth": found(t, _NTH, 1).try_cast("int"),
+        "_next_week": mentions("next week"),
+    }
+
+
+def _date_from(part: dict[str, Column], today: Column) -> Column:
+    """The day the parts mean. The first kind of phrase that matches decides."""
+    gap = F.pmod(part["_weekday"] - F.weekday(today), F.lit(7))
+    ahead = F.when(gap == 0, 7).when(part["_is_next"], gap + 7).otherwise(gap)
     return (
-        F.when(iso.isNotNull(), iso)
-        .when(F.contains(t, F.lit("day after tomorrow")), _step(today, 2))
-        .when(F.contains(t, F.lit("today")) | F.contains(t, F.lit("tonight")), _step(today, 0))
-        .when(F.contains(t, F.lit("tomorrow")), _step(today, 1))
-        .when(weekday.isNotNull(), _step(today, ahead))
+        F.when(part["_iso"] != "", part["_iso"])
+        .when(part["_plain"].isNotNull(), _step(today, part["_plain"]))
+        .when(part["_weekday"].isNotNull(), _step(today, ahead))
         .when(
-            dm_month.isNotNull(),
-            _next_occurrence(today, lookup(MONTHS, dm_month), number(dm_day)),
+            part["_dm_month"].isNotNull(),
+            _next_occurrence(today, part["_dm_month"], part["_dm_day"]),
         )
         .when(
-            md_month.isNotNull(),
-            _next_occurrence(today, lookup(MONTHS, md_month), number(md_day)),
+            part["_md_month"].isNotNull(),
+            _next_occurrence(today, part["_md_month"], part["_md_day"]),
         )
-        .when(nth.isNotNull(), _next_occurrence(today, F.month(today), number(nth)))
-        .when(F.contains(t, F.lit("next week")), _step(today, 7))
+        .when(part["_nth"].isNotNull(), _next_occurrence(today, F.month(today), part["_nth"]))
+        .when(part["_next_week"], _step(today, 7))
     )
 
 
+def travel_date(text: Column, today: Column) -> Column:
+    """The day a text asks for, as yyyy-MM-dd text; null when it names none."""
+    return _date_from(_date_parts(text), today)
+
+
 def _first_at(text: Column, words: list[str]) -> Column:
     """Where the earliest of the words starts; null when none occurs."""
     return F.least(*[F.nullif(F.instr(text, w), F.lit(0)) for w in words])
@@ -171,60 +182,61 @@ def with_route(queries: DataFrame, text: str = "text") -> DataFrame:
         F.nullif(first, F.lit("LOS")),
         F.lit(""),
     )
-    return (
-        queries.withColumns(
-            {
-                "named": places_named(F.col(text)),
-                "_from": place_after(F.col(text), "from"),
-                "_to": place_after(F.col(text), "to"),
-            }
-        )
-        .withColumn("origin", origin)
-        .withColumn("destination", destination)
-        .drop("_from", "_to")
+    staged = evaluated_once(
+        queries,
+        {
+            "named": places_named(F.col(text)),
+            "_from": place_after(F.col(text), "from"),
+            "_to": place_after(F.col(text), "to"),
+        },
+    )
+    return evaluated_once(staged, {"origin": origin, "destination": destination}).drop(
+        "_from", "_to"
     )
 
 
 def parse(queries: DataFrame, text: str = "text", today: str = "today") -> DataFrame:
     """Each text as a search: route, date, preference, confidence, notes, problems."""
-    routed = with_route(queries, text).withColumns(
+    parts = _date_parts(F.col(text))
+    staged = with_route(queries, text).withColumns(parts)
+    routed = evaluated_once(
+        staged,
         {
-            "date": travel_date(F.col(text), F.col(today)),
+            "date": _date_from({name: F.col(name) for name in parts}, F.col(today)),
             "preference": preference(F.col(text)),
-        }
-    )
+            "_written": F.col("_iso") != "",
+        },
+    ).drop(*parts)
     origin, dest, count = F.col("origin"), F.col("destination"), F.size("named")
     lost = dest == ""
-    notes = F.array_compact(
-        F.array(
-            F.when(lost & (count == 0), "no place could be identified"),
-            F.when(
-                lost & (count > 0), "only Lagos was named, so the destination is unknown"
-            ),
-            F.when(
-                F.col("date").isNull(),
-                "no date was given, so all upcoming departures are searched",
-            ),
-        )
+    notes = F.concat_ws(
+        "; ",
+        F.when(lost & (count == 0), "no place could be identified"),
+        F.when(
+            lost & (count > 0), "only Lagos was named, so the destination is unknown"
+        ),
+        F.when(
+            F.col("date").isNull(),
+            "no date was given, so all upcoming departures are searched",
+        ),
     )
-    problems = F.array_compact(
-        F.array(
-            F.when(
-                ~F.length(text).between(MIN_TEXT, MAX_TEXT), "text must be 2 to 300 characters"
-            ),
-            F.when(lost, "no destination could be identified"),
-            F.when(origin == dest, "origin and destination are the same place"),
-            # Only a date written out can be wrong; the others are computed.
-            F.when(
-                _group(_clean(F.col(text)), _ISO, 1).isNotNull()
-                & F.col("date").try_cast("date").isNull(),
-                "date is not a calendar date",
-            ),
-        )
+    problems = F.concat_ws(
+        "|",
+        F.when(
+            ~F.length(text).between(MIN_TEXT, MAX_TEXT), "text must be 2 to 300 characters"
+        ),
+        F.when(lost, "no destination could be identified"),
+        F.when(origin == dest, "origin and destination are the same place"),
+        # Only a date written out can be wrong; the others are computed.
+        F.when(
+            F.col("_written")
+            & F.col("date").try_cast("date").isNull(),
+            "date is not a calendar date",
+        ),
     )
     return (
-        routed.withColumn("note", F.array_join(notes, "; "))
-        .withColumn("problems", problems)
+        routed.withColumn("note", notes)
+        .withColumn("problems", F.array_remove(F.split(problems, r"\|"), ""))
         .withColumn("confident", ~lost)
-        .drop("named")
+        .drop("named", "_written")
     )

@@ -364,10 +364,8 @@ treq AS (
   WHERE rank <= 10""",
 )
 def search_text(v):
-    answer, lists = search.search_text(
-        v.texts, v.latest, v.at(LISTING_NOW), stale_after=STALE_AFTER
-    )
-    shown = answer.select("query_id", "preference")
+    _, lists = search.search_text(v.texts, v.latest, v.at(LISTING_NOW), stale_after=STALE_AFTER)
+    shown = intents.parse(v.texts).select("query_id", "preference")
     return lists.withColumnRenamed("request_id", "query_id").join(shown, "query_id").select(
         "query_id", (F.col("kind") == F.col("preference")).alias("shown_first"), "kind", "rank",
         "offer_id",

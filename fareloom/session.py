@@ -13,6 +13,9 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # HotSpot never compiles a method beyond 8000 bytes of bytecode. Past that, run the
+    # stage with separately generated projections, which it does compile.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A hot join key is split at run time, even if that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

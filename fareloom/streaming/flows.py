@@ -40,8 +40,9 @@ def distinct_offers(offers: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 def running_latest(offers: DataFrame) -> DataFrame:
     """Latest offer per departure as a running aggregate (update or complete mode)."""
-    stamped = offers.withColumn("_at", times.instant(F.col("fetched_at")))
-    return hist.newest(stamped, "offer_id", "_at").select(*OFFER_COLUMNS)
+    observed = times.instant(F.col("fetched_at")).alias("at")
+    best = F.max(F.struct(observed, F.struct(*OFFER_COLUMNS).alias("row")))
+    return offers.groupBy("offer_id").agg(best.alias("best")).select("best.row.*")
 
 
 def _start(
