@@ -13,19 +13,23 @@ with one row per key and non-empty span.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareloom.functions.times import HOUR
+from fareloom.functions.times import HOUR, SECOND
 
 # A departure with more observations than HOT_ROWS is not sorted in one task, and
 # one with more than DENSE_ROWS in one span is not scanned frame by frame.
 HOT_ROWS = 50_000
 DENSE_ROWS = 1_000
 SPAN = 6 * HOUR
+# Spans are shortened until about this many rows of one key fall into one.
+SPAN_ROWS = 200_000
+SHORTEST_SPAN = SECOND
 # The most hot keys listed on the driver; past it every key is treated as hot.
 MAX_HOT_KEYS = 1_000
 
@@ -127,26 +131,45 @@ def self_lookups(
     (key, at) must be unique. Ordinary keys go through one shuffle and one sort
     for all lookups together; hot keys, found by a count first, are cut by time.
     """
-    hot = hot_keys(df, key, at, hot_rows)
+    sizes = key_sizes(df.select(F.col(key).alias("_key"), F.unix_micros(at).alias("_at")))
+    hot = hot_keys(sizes, hot_rows)
     if not hot:
         return _by_frames(df, key, at, value, lookups)
     if len(hot) > MAX_HOT_KEYS:
-        return _by_spans(df, key, at, value, lookups)
-    is_hot = F.col(key).isin(hot)
+        return _by_spans(df, key, at, value, lookups, fitting_span(sizes))
+    span = _span_for(max(densest for _, densest in hot))
+    is_hot = F.coalesce(F.col(key).isin([name for name, _ in hot]), F.lit(False))
     cold = _by_frames(df.filter(~is_hot), key, at, value, lookups)
-    return cold.unionByName(_by_spans(df.filter(is_hot), key, at, value, lookups))
+    return cold.unionByName(_by_spans(df.filter(is_hot), key, at, value, lookups, span))
 
 
-def hot_keys(df: DataFrame, key: str, at: str, hot_rows: int = HOT_ROWS) -> list:
-    """The keys to cut by time; one more than MAX_HOT_KEYS means too many to list.
+def key_sizes(line: DataFrame) -> DataFrame:
+    """Rows per ``_key``, and the most rows it has in one span of ``_at``.
 
     Counted per span first, which the scan combines before it shuffles.
     """
-    span = F.floor(F.unix_micros(at) / SPAN)
-    counts = df.groupBy(key, span.alias("_span")).count().groupBy(key)
-    sizes = counts.agg(F.sum("count").alias("n"), F.max("count").alias("densest"))
+    counts = line.groupBy("_key", F.floor(F.col("_at") / SPAN).alias("_span")).count()
+    return counts.groupBy("_key").agg(F.sum("count").alias("n"), F.max("count").alias("densest"))
+
+
+def hot_keys(sizes: DataFrame, hot_rows: int = HOT_ROWS) -> list[tuple[str, int]]:
+    """(key, densest span) of the keys to cut by time.
+
+    One more than MAX_HOT_KEYS of them means there are too many to list.
+    """
     hot = sizes.filter((F.col("n") > hot_rows) | (F.col("densest") > DENSE_ROWS))
-    return [row[0] for row in hot.select(key).limit(MAX_HOT_KEYS + 1).collect()]
+    listed = hot.select("_key", "densest").limit(MAX_HOT_KEYS + 1).collect()
+    return [(row["_key"], row["densest"]) for row in listed]
+
+
+def _span_for(densest: int | None) -> int:
+    pieces = max(1, math.ceil((densest or 0) / SPAN_ROWS))
+    return max(SHORTEST_SPAN, SPAN // pieces)
+
+
+def fitting_span(sizes: DataFrame) -> int:
+    """A span short enough for the densest stretch of any key."""
+    return _span_for(sizes.agg(F.max("densest")).first()[0])
 
 
 def _by_frames(df, key, at, value, lookups) -> DataFrame:
@@ -174,7 +197,7 @@ def _by_frames(df, key, at, value, lookups) -> DataFrame:
     return framed.select(*df.columns, *chosen)
 
 
-def _by_spans(df, key, at, value, lookups) -> DataFrame:
+def _by_spans(df, key, at, value, lookups, span_us) -> DataFrame:
     """The same answers through ``neighbours``: one thin probe per row and lookup."""
     us = F.unix_micros(at)
     offsets = F.array(
@@ -185,7 +208,7 @@ def _by_spans(df, key, at, value, lookups) -> DataFrame:
         key, "_own", F.col("_o.i").alias("_i"), (F.col("_own") + F.col("_o.by")).alias("_target")
     )
     seen = df.select(F.col(key), us.alias("_us"), F.col(value).alias("v"))
-    found = neighbours(probes, seen, key, "_target", "_us", ["v"])
+    found = neighbours(probes, seen, key, "_target", "_us", ["v"], span_us=span_us)
     answers = []
     for i, spec in enumerate(lookups):
         if spec.direction == "nearest":
@@ -222,7 +245,12 @@ def asof_join(
     sides = {"forward": ("next",), "backward": ("prev",), "nearest": ("prev", "next")}[direction]
     targets = probes.withColumn("_target", F.unix_micros(probe_at) + F.lit(offset_us))
     seen = observations.select(key, F.unix_micros(observed_at).alias("_us"), value)
-    found = neighbours(targets, seen, key, "_target", "_us", [value], sides)
+    times = [
+        frame.select(F.col(key).alias("_key"), F.col(us).alias("_at"))
+        for frame, us in ((targets, "_target"), (seen, "_us"))
+    ]
+    span = fitting_span(key_sizes(times[0].unionByName(times[1])))
+    found = neighbours(targets, seen, key, "_target", "_us", [value], sides, span)
     target = F.col("_target")
     if direction == "nearest":
         best = nearest(F.col("prev"), F.col("next"), target, tolerance_us)

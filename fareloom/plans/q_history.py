@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -533,4 +534,7 @@ def train_metrics(v):
 def score_latest(v):
     now = v.at(OBS_NOW)
     model, _ = _trained(v, 5, training.SEARCH_GRID[:1])
+    path = new_path(v.spark, "model")
+    model.write().save(path)
+    model = PipelineModel.load(path)
     return training.score(model, v.latest_obs, v.history, now, "gbt-demo")

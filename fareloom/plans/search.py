@@ -20,6 +20,7 @@ from fareloom.operators.ranking import (
 from fareloom.sources.registry import known_place, supported_route
 
 ANY_DATE = "any"
+DATE = r"^\d{4}-\d{2}-\d{2}$"
 ROUTE_DATE = ["origin", "destination", "board_date"]
 
 
@@ -55,10 +56,23 @@ def availability(sale: DataFrame) -> DataFrame:
 
 
 def checked(requests: DataFrame) -> DataFrame:
-    """Requests with a ``status``: unknown_place, out_of_scope or ok."""
+    """Requests with a ``status``.
+
+    ``invalid_request`` (a code that is not three letters long, a date that is
+    none, a limit outside 1 to 50), ``unknown_place``, ``out_of_scope`` or ``ok``.
+    """
     origin, dest = F.upper("origin"), F.upper("destination")
+    limit = F.coalesce(F.col("limit"), F.lit(DEFAULT_LIMIT))
+    date = F.col("date").cast("string")
+    well_formed = (
+        (F.length(origin) == 3)
+        & (F.length(dest) == 3)
+        & limit.between(1, MAX_LIMIT)
+        & (date.isNull() | (date.rlike(DATE) & date.try_cast("date").isNotNull()))
+    )
     status = (
-        F.when(~(known_place(origin) & known_place(dest)), "unknown_place")
+        F.when(~F.coalesce(well_formed, F.lit(False)), "invalid_request")
+        .when(~(known_place(origin) & known_place(dest)), "unknown_place")
         .when(~supported_route(origin, dest), "out_of_scope")
         .otherwise("ok")
     )
@@ -66,9 +80,9 @@ def checked(requests: DataFrame) -> DataFrame:
         {
             "origin": origin,
             "destination": dest,
-            "status": F.coalesce(status, F.lit("unknown_place")),
-            "limit": F.coalesce(F.col("limit"), F.lit(DEFAULT_LIMIT)),
-            "board_date": F.coalesce(F.col("date").cast("string"), F.lit(ANY_DATE)),
+            "status": status,
+            "limit": limit,
+            "board_date": F.coalesce(date, F.lit(ANY_DATE)),
         }
     )
 
@@ -117,6 +131,8 @@ def search_text(
     stale_after: int = STALE_AFTER_SECONDS,
 ) -> tuple[DataFrame, DataFrame]:
     """(what was understood, with its envelope; the ranked rows) per text query."""
+    if not 1 <= limit <= MAX_LIMIT:
+        raise ValueError(f"limit must be 1 to {MAX_LIMIT}")
     understood = intents.parse(texts)
     requests = (
         understood.filter(F.size("problems") == 0)

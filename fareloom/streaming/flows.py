@@ -60,7 +60,11 @@ def write_history(
     """Append the stream to the history table, each fact once."""
 
     def append(batch: DataFrame, _: int) -> None:
-        tables.append_history(to_history(batch), path)
+        rows = to_history(batch).persist()  # read twice: for its days, then to append
+        try:
+            tables.append_history(rows, path)
+        finally:
+            rows.unpersist()
 
     return _start(offers, checkpoint, append, once)
 
@@ -110,3 +114,18 @@ def write_offers(
     if once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def write_topic(offers: DataFrame, servers: str, checkpoint: str) -> StreamingQuery:
+    """The canonical offers as JSON on the ``offers`` topic. Needs the Kafka package."""
+    messages = offers.select(
+        F.col("offer_id").alias("key"), F.to_json(F.struct(*OFFER_COLUMNS)).alias("value")
+    )
+    return (
+        messages.writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", "offers")
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .start()
+    )

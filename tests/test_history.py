@@ -128,6 +128,10 @@ def _random_history(n=600, offers=5, seed=7):
     return frame
 
 
+def _sizes(df, key, at):
+    return asof.key_sizes(df.select(F.col(key).alias("_key"), F.unix_micros(at).alias("_at")))
+
+
 def _merge(frame, hours, direction):
     sign = 1 if direction == "forward" else -1
     left = frame[["offer_id", "fetched_at"]].copy()
@@ -167,7 +171,7 @@ def test_hot_and_ordinary_keys_together_equal_one_path(spark):
     frame = _random_history()
     extra = _random_history(2000, 1, seed=9).assign(offer_id="hot")
     df = spark.createDataFrame(pd.concat([frame, extra]))
-    assert asof.hot_keys(df, "offer_id", "fetched_at", 300) == ["hot"]
+    assert [k for k, _ in asof.hot_keys(_sizes(df, "offer_id", "fetched_at"), 300)] == ["hot"]
     order = ["offer_id", "fetched_at"]
 
     def answer(limit):
@@ -182,8 +186,23 @@ def test_a_dense_burst_makes_a_key_hot(spark):
     burst = spark.range(asof.DENSE_ROWS + 1).select(
         F.lit("a").alias("k"), F.timestamp_seconds(F.col("id")).alias("t")
     )
-    assert asof.hot_keys(burst, "k", "t") == ["a"]
-    assert asof.hot_keys(burst.limit(10), "k", "t") == []
+    assert asof.hot_keys(_sizes(burst, "k", "t")) == [("a", asof.DENSE_ROWS + 1)]
+    assert asof.hot_keys(_sizes(burst.limit(10), "k", "t")) == []
+
+
+def test_spans_shrink_with_density():
+    assert asof._span_for(None) == asof._span_for(asof.SPAN_ROWS) == asof.SPAN
+    assert asof._span_for(10 * asof.SPAN_ROWS) == asof.SPAN // 10
+    assert asof._span_for(10**15) == asof.SHORTEST_SPAN
+
+
+def test_short_spans_give_the_same_answers(spark):
+    frame = _random_history(300, 2)
+    df = spark.createDataFrame(frame)
+    order = ["offer_id", "fetched_at"]
+    args = (df, "offer_id", "fetched_at", "price_ngn", LOOKUPS)
+    short = asof._by_spans(*args, asof.SHORTEST_SPAN * 600).orderBy(order).collect()
+    assert short == asof._by_frames(*args).orderBy(order).collect()
 
 
 def test_asof_ties_bounds_and_tolerance(spark, seen):

@@ -51,6 +51,15 @@ def test_unknown_place_unsupported_route_and_empty_are_three_answers(asked, offe
     assert rows[2]["stale"] is False
 
 
+@pytest.mark.parametrize(
+    "change", [{"limit": 0}, {"limit": 51}, {"origin": "LAGOS"}, {"date": "2026-02-30"}]
+)
+def test_malformed_requests_are_refused_not_cut(asked, offers, lists, now, change):
+    requests = asked(change)
+    assert search.search_envelope(requests, offers({}), now).first()["status"] == "invalid_request"
+    assert lists(requests, offers({})) == {}
+
+
 def test_cheapest_is_the_coach_and_fastest_the_flight_door_to_door(asked, offers, lists):
     found = lists(asked({"origin": "los"}), offers(COACH, FLIGHT))
     assert [r["mode"] for r in found[0, "cheapest"]] == ["road", "air"]
