@@ -35,9 +35,15 @@ def with_params(url: Column, params: dict[str, Column]) -> Column:
         ),
     )
     added = F.array(*[_pair(F.lit(name), value) for name, value in params.items()])
-    pairs = F.concat(existing, added)
+    # A one-element transform names the pairs, so they are split and decoded once.
+    merged = F.get(F.transform(F.array(F.concat(existing, added)), _encoded), F.lit(0))
+    return F.concat(base, F.lit("?"), F.array_join(merged, "&"), fragment)
+
+
+def _encoded(pairs: Column) -> Column:
+    """Each name once, in first position, with its last value, as name=value."""
     names = F.array_distinct(F.transform(pairs, lambda p: p["name"]))
-    merged = F.transform(
+    return F.transform(
         names,
         lambda n: F.concat(
             F.url_encode(n),
@@ -45,7 +51,6 @@ def with_params(url: Column, params: dict[str, Column]) -> Column:
             F.url_encode(F.element_at(F.filter(pairs, lambda p: p["name"] == n), -1)["value"]),
         ),
     )
-    return F.concat(base, F.lit("?"), F.array_join(merged, "&"), fragment)
 
 
 def deep_link(offer_url: Column, origin: Column, dest: Column, depart_time: Column) -> Column:

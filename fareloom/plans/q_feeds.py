@@ -9,7 +9,7 @@ from fareloom.functions import identity, money, times
 from fareloom.operators import contract, dashboard, normalise, ops
 from fareloom.plans import view_sql as S
 from fareloom.plans.registry import question
-from fareloom.plans.views import KEYS, Views
+from fareloom.plans.views import KEYS, Views, probability
 from fareloom.session import new_path
 from fareloom.sources import registry, tables
 from fareloom.sources.feeds import decode
@@ -386,9 +386,7 @@ _PERCENT = f"CAST(floor({S.PROBABILITY} * 100 + 0.5) AS BIGINT)"
   FROM events""",
 )
 def prediction_label(v):
-    from fareloom.plans.views import _probability
-
-    p = _probability()
+    p = probability()
     return v.table("events").select(
         "event_id", dashboard.prediction_label(p, p >= 0.5).alias("label")
     )

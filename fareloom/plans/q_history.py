@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fareloom.functions import times
 from fareloom.operators import asof, dashboard, evaluate, features, history, training
+from fareloom.plans import search
 from fareloom.plans import view_sql as S
 from fareloom.plans.q_feeds import _stored
 from fareloom.plans.registry import question
@@ -87,9 +88,7 @@ def route_latest(v):
     + f"SELECT count(*) AS offers_cached, {S.utc_text(S.LISTING_AT)} AS offers_counted_at FROM latest",
 )
 def live_count(v):
-    from fareloom.plans.search import live_count
-
-    return live_count(v.latest, v.at(LISTING_NOW))
+    return search.live_count(v.latest, v.at(LISTING_NOW))
 
 
 @question(

@@ -10,7 +10,7 @@ from fareloom.plans import search
 from fareloom.plans import view_sql as S
 from fareloom.plans.registry import question
 from fareloom.plans.views import (
-    LISTING_NOW, STALE_AFTER, TEXT_SHAPES, _pick,
+    LISTING_NOW, STALE_AFTER, TEXT_SHAPES, pick,
 )
 from fareloom.sources import registry
 
@@ -546,7 +546,7 @@ def ledger_update_rules(v):
         .when(F.col("event_type") == "signup", "attempts")
         .otherwise("last_error")
         .alias("column_name"),
-        _pick(["pending", "confirmed", "failed", "unknown", "refunded"], e % 5).alias("new_value"),
+        pick(["pending", "confirmed", "failed", "unknown", "refunded"], e % 5).alias("new_value"),
     )
     return changes.select(
         "event_id", F.array_join(contract.update_problems(), "|").alias("errors")
@@ -581,13 +581,13 @@ def pick_holdable(v):
             F.lit("q"), F.col("l_partkey").cast("string"), F.lit("-"),
             F.col("l_suppkey").cast("string"),
         ).alias("quote_id"),
-        F.concat(F.upper(_pick(names, F.col("l_suppkey") % 8)), F.lit(" Ltd")).alias("owner_name"),
+        F.concat(F.upper(pick(names, F.col("l_suppkey") % 8)), F.lit(" Ltd")).alias("owner_name"),
         F.when(line % 7 != 0, F.col("l_extendedprice").cast("string")).alias("total_amount"),
         F.when(line % 3 == 0, True).when(line % 3 == 1, False).alias("requires_instant_payment"),
     )
     asked = v.table("orders").select(
         F.col("o_orderkey").alias("request_id"),
-        _pick(names, F.col("o_custkey") % 8).alias("carrier"),
+        pick(names, F.col("o_custkey") % 8).alias("carrier"),
     )
     return bookings.pick_holdable(asked, quotes).select(
         "request_id", "quote_id", "same_carrier", "status"
@@ -685,7 +685,7 @@ def latency_by_path(v):
 )
 def unknown_per_week(v):
     """State changes as JSON log lines among other lines."""
-    state = _pick(["pending", "confirmed", "failed", "unknown"], F.col("event_id") % 4)
+    state = pick(["pending", "confirmed", "failed", "unknown"], F.col("event_id") % 4)
     line = F.to_json(
         F.struct(
             F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fareloom.functions import times
 from fareloom.functions.identity import offer_id_from_key
+from fareloom.operators.history import latest_offers, newest
 from fareloom.operators.normalise import CITY_CODES, TERMINAL_CODES
 from fareloom.session import prepare
 from fareloom.sources.registry import CARRIERS
@@ -28,25 +29,25 @@ LISTING_NOW = "1998-09-01 00:00:00"
 STALE_AFTER = 90 * 86400  # the listing is months apart, not minutes
 
 
-def _pick(values: list, index: Column) -> Column:
+def pick(values: list, index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
-def _div(a: Column, b: int) -> Column:
+def div(a: Column, b: int) -> Column:
     return F.floor(a / b)
 
 
 def _journey(carrier: Column, spread: Column, outbound: Column) -> dict[str, Column]:
     far = F.coalesce(
         *[
-            F.when(carrier == i, _pick(ends, spread % len(ends)))
+            F.when(carrier == i, pick(ends, spread % len(ends)))
             for i, ends in enumerate(FAR_ENDS)
         ]
     )
     return {
-        "carrier_key": _pick(KEYS, carrier),
-        "carrier": _pick([c[1] for c in CARRIERS], carrier),
-        "mode": _pick([c[2] for c in CARRIERS], carrier),
+        "carrier_key": pick(KEYS, carrier),
+        "carrier": pick([c[1] for c in CARRIERS], carrier),
+        "mode": pick([c[2] for c in CARRIERS], carrier),
         "origin": F.when(outbound, F.lit("LOS")).otherwise(far),
         "destination": F.when(outbound, far).otherwise(F.lit("LOS")),
     }
@@ -94,7 +95,7 @@ class Views:
             F.lit("2024-01-10 00:00:00").cast("timestamp"),
             (u % 100) * 86400 + (u * 7 % 24) * 3600 + (u % 4) * 900,
         )
-        journey = _journey(carrier, _div(u, 8), _div(u, 48) % 2 == 0)
+        journey = _journey(carrier, div(u, 8), div(u, 48) % 2 == 0)
         return (
             events.withColumns(journey)
             .withColumns(
@@ -205,14 +206,10 @@ class Views:
 
     @cached_property
     def latest(self) -> DataFrame:
-        from fareloom.operators.history import latest_offers
-
         return latest_offers(self.listing, times.instant(F.col("fetched_at")))
 
     @cached_property
     def latest_obs(self) -> DataFrame:
-        from fareloom.operators.history import latest_offers
-
         return latest_offers(self.history)
 
     # ------------------------------------------------------------- requests --
@@ -222,12 +219,12 @@ class Views:
         c = F.col("c_custkey")
         ends = ["LOS", "ABV", "LOS", "ONI", "LOS", "PHC", "LOS", "LHR", "ABV", "LOS"]
         back = ["ABV", "LOS", "ONI", "LOS", "PHC", "LOS", "LHR", "LOS", "PHC", "XXX"]
-        tens = _div(c, 10)
-        origin = _pick(ends, c % 10)
+        tens = div(c, 10)
+        origin = pick(ends, c % 10)
         return self.table("customer").select(
             c.alias("request_id"),
             F.when(c % 3 == 0, F.lower(origin)).otherwise(origin).alias("origin"),
-            _pick(back, c % 10).alias("destination"),
+            pick(back, c % 10).alias("destination"),
             F.when(
                 tens % 5 != 0,
                 F.date_format(
@@ -242,9 +239,9 @@ class Views:
     def texts(self) -> DataFrame:
         """Customers as people typing a travel query."""
         c = F.col("c_custkey")
-        place = _pick(TEXT_PLACES, _div(c, 15) % len(TEXT_PLACES))
-        other = _pick(TEXT_PLACES, _div(c, 90) % len(TEXT_PLACES))
-        shape = _pick(TEXT_SHAPES, c % len(TEXT_SHAPES))
+        place = pick(TEXT_PLACES, div(c, 15) % len(TEXT_PLACES))
+        other = pick(TEXT_PLACES, div(c, 90) % len(TEXT_PLACES))
+        shape = pick(TEXT_SHAPES, c % len(TEXT_SHAPES))
         filled = F.replace(F.replace(shape, F.lit("{P}"), place), F.lit("{Q}"), other)
         day = F.date_add(F.lit("1998-09-01").cast("date"), (c % 11).cast("int"))
         return self.table("customer").select(
@@ -277,10 +274,8 @@ class Views:
     @cached_property
     def ledger(self) -> DataFrame:
         """Views as bookings already made, one row per key."""
-        from fareloom.operators.history import newest
-
         u, e = F.col("user_id"), F.col("event_id")
-        state = _pick(["pending", "confirmed", "failed", "unknown"], e % 4)
+        state = pick(["pending", "confirmed", "failed", "unknown"], e % 4)
         rows = self.obs.filter("event_type = 'view'").select(
             F.when(
                 (e % 5 == 0) & (u % 80 < 40), F.concat(F.lit("given-key-"), (u % 80).cast("string"))
@@ -311,10 +306,10 @@ class Views:
             .otherwise("transport_error")
         )
         return self.table("events").select(
-            F.concat(F.lit("k-"), _div(e, 4).cast("string")).alias("idempotency_key"),
+            F.concat(F.lit("k-"), div(e, 4).cast("string")).alias("idempotency_key"),
             (e % 4 + 1).cast("int").alias("attempt"),
             outcome.alias("outcome"),
-            _pick([401, 403, 404, 422, 429, 500, 503], F.col("user_id") % 7).alias("status"),
+            pick([401, 403, 404, 422, 429, 500, 503], F.col("user_id") % 7).alias("status"),
             (F.col("user_id") % 5 == 0).alias("read_only"),
         )
 
@@ -362,7 +357,7 @@ class Views:
     @cached_property
     def predictions(self) -> DataFrame:
         """Every third observation as a prediction made seven minutes later."""
-        p = _probability()
+        p = probability()
         return self.obs.filter(F.col("event_id") % 3 == 0).select(
             "offer_id",
             _plus(F.col("fetched_at"), F.lit(420)).alias("predicted_at"),
@@ -375,14 +370,14 @@ class Views:
     @cached_property
     def scored(self) -> DataFrame:
         """A prediction table with known labels, tied to the price."""
-        p = _probability()
+        p = probability()
         return self.obs.select(
             p.alias("probability"),
             (F.col("price_ngn") + p * 8000 > 8000).cast("int").alias("label"),
         )
 
 
-def _probability() -> Column:
+def probability() -> Column:
     return (F.col("event_id") * 7919 % 10001) / F.lit(10000.0)
 
 

@@ -13,6 +13,10 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Streaming state may outgrow the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # HotSpot never compiles a method beyond 8000 bytes of bytecode. Past that, run the
     # stage with separately generated projections, which it does compile.
     "spark.sql.codegen.hugeMethodLimit": "8000",
