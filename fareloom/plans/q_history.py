@@ -13,7 +13,7 @@ from fareloom.plans import view_sql as S
 from fareloom.plans.q_feeds import _stored
 from fareloom.plans.registry import question
 from fareloom.plans.views import LISTING_NOW, OBS_NOW, Views
-from fareloom.session import new_path
+from fareloom.session import new_path, stored
 from fareloom.sources import tables
 
 _STORED_SQL = """SELECT offer_id, carrier, mode, origin, destination,
@@ -282,7 +282,8 @@ def delta_histogram(v):
     _FEATURES + "SELECT round(median(abs(price_delta_6h)), 9) AS median_move FROM features",
 )
 def median_move(v):
-    out = features.median_move(features.build_features(v.history))
+    rows = stored(features.build_features(v.history).select("price_delta_6h"), "moves")
+    out = features.median_move(rows)
     return out.select(F.round("median_move", 9).alias("median_move"))
 
 
@@ -296,7 +297,7 @@ def median_move(v):
   FROM features GROUP BY 1""",
 )
 def time_split(v):
-    out = features.split_summary(features.price_label(v.history))
+    out = features.split_summary(stored(features.price_label(v.history), "labelled"))
     return out.select(
         "side", "n_rows", F.unix_micros("first_at").alias("first_us"),
         F.unix_micros("last_at").alias("last_us"),
@@ -515,9 +516,8 @@ def daily_accuracy(v):
 
 def _trained(v: Views, rounds: int, grid) -> tuple:
     """Features written once, so each tree reads a table and not the whole lineage."""
-    path = new_path(v.spark, "features")
-    features.build_features(v.history).write.parquet(path)
-    return training.train(v.spark.read.parquet(path), grid=grid, rounds=rounds)
+    rows = stored(features.build_features(v.history), "features")
+    return training.train(rows, grid=grid, rounds=rounds)
 
 
 @question("train_metrics")

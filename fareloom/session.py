@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only, so they also apply to a session somebody else built.
 RUNTIME_CONF = {
@@ -54,6 +54,16 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/fareloom-{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A table written to the shared folder and read back, so it is made once.
+
+    For results that several passes read, such as a split or tree training.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def build_local(
     app: str = "fareloom", cpus: str = "*", partitions: int = 8, shared: str | None = None
 ) -> SparkSession:
@@ -65,6 +75,8 @@ def build_local(
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording a Python stack per column expression triples the time to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if shared:
         builder = builder.config("spark.checkpoint.dir", shared)

@@ -47,7 +47,8 @@ CARRIER_SCHEMA = (
 
 
 def literal_map(values: Mapping) -> Column:
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    """A fixed mapping as one constant; its values are plain words and numbers."""
+    return F.expr("map(" + ", ".join(repr(x) for pair in values.items() for x in pair) + ")")
 
 
 def lookup(values: Mapping, key: Column) -> Column:

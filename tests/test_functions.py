@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareloom.functions import identity, money, times, urls
+from fareloom.functions.staging import evaluated_once
 from fareloom.operators import dashboard, ops
 
 
@@ -175,3 +176,11 @@ def test_error_list_is_flattened(one):
     assert one(ops.error_message(F.lit(""))) == "no response body"
     long = '{"errors":[{"title":"T","message":"' + "x" * 900 + '"}]}'
     assert len(one(ops.error_message(F.lit(long)))) == 400
+
+
+def test_filters_stay_above_columns_worked_out_once(spark):
+    frame = evaluated_once(spark.range(5), {"x": F.sha2(F.col("id").cast("string"), 256)})
+    found = frame.filter((F.col("x") > "5") & (F.length("x") == 64))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha2") == 1
+    assert frame.count() == 5
