@@ -64,8 +64,12 @@ def split_conflicts(observations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def new_facts(history: DataFrame, arrivals: DataFrame) -> DataFrame:
-    """The arrivals whose (offer, moment) the history does not hold yet."""
-    fresh, _ = split_conflicts(arrivals)
+    """The arrivals whose (offer, moment) the history does not hold, once each.
+
+    Where deliveries of one key disagree, the one ``facts`` shows is kept;
+    ``split_conflicts`` lists such keys.
+    """
+    fresh = facts(arrivals).select(*arrivals.columns)
     return fresh.join(history.select(*KEY), KEY, "left_anti")
 
 

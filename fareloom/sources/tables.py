@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fareloom.operators.contract import history_problems
 from fareloom.operators.history import new_facts
 from fareloom.sources.schemas import HISTORY, OFFER_COLUMNS as HISTORY_COLUMNS
 
@@ -42,13 +43,18 @@ def is_folder(spark: SparkSession, path: str) -> bool:
 def append_history(arrivals: DataFrame, path: str) -> None:
     """Append the facts the history does not hold. Redelivery changes nothing.
 
+    A row the table may not hold stops the append before anything is written.
     Only the days present in the arrivals are read back for the comparison.
     """
     spark = arrivals.sparkSession
     fresh = as_history(arrivals)
     bounds = fresh.agg(
-        F.to_date(F.min("fetched_at")).alias("low"), F.to_date(F.max("fetched_at")).alias("high")
+        F.to_date(F.min("fetched_at")).alias("low"),
+        F.to_date(F.max("fetched_at")).alias("high"),
+        F.count_if(F.size(history_problems()) > 0).alias("refused"),
     ).first()
+    if bounds["refused"]:
+        raise ValueError(f"{bounds['refused']} rows break the rules of the history table")
     if bounds["low"] is None:
         return
     if is_folder(spark, path):

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fareloom.functions import times
 from fareloom.operators import history as hist
+from fareloom.operators.contract import history_problems
 from fareloom.operators.normalise import to_history, unify
 from fareloom.sources import tables
 from fareloom.sources.schemas import OFFER, OFFER_COLUMNS
@@ -55,14 +56,33 @@ def _start(
 
 
 def write_history(
-    offers: DataFrame, path: str, checkpoint: str, once: bool = False
+    offers: DataFrame,
+    path: str,
+    checkpoint: str,
+    once: bool = False,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
-    """Append the stream to the history table, each fact once."""
+    """Append the stream to the history table, each fact once.
+
+    A row the table may not hold stops the stream, unless ``quarantine`` names a
+    place for it. Keys whose deliveries disagree are listed beside it, under
+    ``<quarantine>-conflicts``; the history then keeps one of them.
+    """
 
-    def append(batch: DataFrame, _: int) -> None:
-        rows = to_history(batch).persist()  # read twice: for its days, then to append
+    def append(batch: DataFrame, number: int) -> None:
+        # Read several times: to set rows aside, for their days, and to append.
+        rows = to_history(batch).withColumn("problems", history_problems()).persist()
         try:
-            tables.append_history(rows, path)
+            good = rows
+            if quarantine:
+                slot = f"batch={number}"
+                good = rows.filter(F.size("problems") == 0)
+                rows.filter(F.size("problems") > 0).write.mode("overwrite").parquet(
+                    f"{quarantine}/{slot}"
+                )
+                _, conflicts = hist.split_conflicts(good.drop("problems"))
+                conflicts.write.mode("overwrite").parquet(f"{quarantine}-conflicts/{slot}")
+            tables.append_history(good, path)
         finally:
             rows.unpersist()
 

@@ -104,3 +104,26 @@ def test_running_latest_equals_batch(spark, feed_dir):
     batch = normalise.unify({"gigm": read_json(spark, "gigm", path)})
     latest = history.latest_offers(batch, F.to_timestamp("fetched_at"))
     assert _canonical(spark.table("running_latest").collect()) == _canonical(latest.collect())
+
+
+def test_bad_rows_stop_the_stream_or_go_to_quarantine(spark, feed_dir, tmp_path):
+    bad = {"fare": "call us"}
+    again = {"fare": "NGN 300"}
+    path = feed_dir("gigm", "a", {}, again, bad)
+
+    def start(out, **options):
+        offers = flows.union_feeds({"gigm": read_json(spark, "gigm", path, streaming=True)})
+        return flows.write_history(
+            offers, str(tmp_path / out), str(tmp_path / f"{out}-marks"), once=True, **options
+        )
+
+    with pytest.raises(Exception, match="break the rules"):
+        start("strict").awaitTermination()
+    aside = str(tmp_path / "aside")
+    start("kept", quarantine=aside).awaitTermination()
+    kept = tables.read_history(spark, str(tmp_path / "kept")).collect()
+    assert [float(r["price_ngn"]) for r in kept] == [300.0]
+    refused = spark.read.parquet(f"{aside}/batch=0").collect()
+    assert [r["problems"] for r in refused] == [["price_ngn"]]
+    conflicts = spark.read.parquet(f"{aside}-conflicts/batch=0").collect()
+    assert [r["deliveries"] for r in conflicts] == [2]
