@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import bpe, mixing, ngrams, repeats, simhash
+from fareloom.llm import (
+    bpe,
+    discriminant,
+    frames,
+    linkgraph,
+    mixing,
+    ngrams,
+    repeats,
+    routed,
+    simhash,
+    sitetree,
+)
 from fareloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,16 +29,32 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkgraph.judged(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(spark, sf_dir)
 
 
+@query
+def op3_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return discriminant.scored(table(spark, sf_dir, "documents"), labels)
+
+
 @query
 def op4_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.round_trip(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -36,6 +63,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_site_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitetree.main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
@@ -50,4 +82,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routed.search(table(spark, sf_dir, "embeddings"))
+
+
 SQL: dict[str, str] = {"op2_source_mixture": mixing.sql()}
