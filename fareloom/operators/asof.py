@@ -13,25 +13,17 @@ with one row per key and non-empty span.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareloom.functions.times import HOUR, SECOND
+from fareloom.functions.times import HOUR
 
-# A departure with more observations than HOT_ROWS is not sorted in one task, and
-# one with more than DENSE_ROWS in one span is not scanned frame by frame.
-HOT_ROWS = 50_000
-DENSE_ROWS = 1_000
 SPAN = 6 * HOUR
-# Spans are shortened until about this many rows of one key fall into one.
+# Spans of a key are shortened until about this many of its rows fall into one.
 SPAN_ROWS = 200_000
-SHORTEST_SPAN = SECOND
-# The most hot keys listed on the driver; past it every key is treated as hot.
-MAX_HOT_KEYS = 1_000
 
 
 def neighbours(
@@ -42,20 +34,23 @@ def neighbours(
     observed_us: str,
     take: Sequence[str],
     directions: Sequence[str] = ("prev", "next"),
-    span_us: int = SPAN,
+    span_rows: int = SPAN_ROWS,
 ) -> DataFrame:
     """Probes with ``prev`` and/or ``next``: the observation at or before / after.
 
-    Both are structs ``(at, *take)``, null when there is none. Times are
-    integer microseconds. A match at the probe's own moment is both.
+    Both are structs ``(at, *take)``, null when there is none. Times are integer
+    microseconds. A match at the probe's own moment is both. Of observations of one key
+    and moment ``prev`` is the greatest and ``next`` the smallest. Probes with a null key
+    or time find nothing and stay; such observations are never found.
     """
     seen = F.struct(F.col(observed_us).alias("at"), *take)
+    seen_type = observations.select(seen.alias("s")).schema["s"].dataType
     row_type = probes.schema.simpleString()
     left = probes.select(
         F.col(key).alias("_key"),
         F.col(probe_us).alias("_at"),
         F.struct(*probes.columns).alias("_row"),
-        F.lit(None).cast(observations.select(seen.alias("s")).schema["s"].dataType).alias("_seen"),
+        F.lit(None).cast(seen_type).alias("_seen"),
     )
     right = observations.select(
         F.col(key).alias("_key"),
@@ -63,7 +58,8 @@ def neighbours(
         F.lit(None).cast(row_type).alias("_row"),
         seen.alias("_seen"),
     )
-    line = left.unionByName(right).withColumn("_span", F.floor(F.col("_at") / span_us))
+    placed = F.col("_key").isNotNull() & F.col("_at").isNotNull()
+    line = _in_spans(left.filter(placed).unionByName(right.filter(placed)), span_rows)
     group = ["_key", "_span"]
     is_probe = F.col("_row").isNotNull()
 
@@ -75,10 +71,11 @@ def neighbours(
         # Observations come before probes at the same moment, so equality matches.
         inside = (
             Window.partitionBy(*group)
-            .orderBy(sort_at[d]("_at"), is_probe)
+            .orderBy(sort_at[d]("_at"), is_probe, sort_at[d]("_seen"))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         out = out.withColumn(f"_in_{d}", F.last("_seen", ignorenulls=True).over(inside))
+        # One row per key and span that holds something.
         earlier = (
             Window.partitionBy("_key")
             .orderBy(sort_at[d]("_span"))
@@ -89,9 +86,29 @@ def neighbours(
         )
     carried = summary.select(*group, *[f"_carry_{d}" for d in directions])
     found = out.filter(is_probe).join(carried, group, "left")
+    nothing = left.filter(~placed).select(
+        "_row.*", *[F.lit(None).cast(seen_type).alias(d) for d in directions]
+    )
     return found.select(
         "_row.*",
         *[F.coalesce(F.col(f"_in_{d}"), F.col(f"_carry_{d}")).alias(d) for d in directions],
+    ).unionByName(nothing)
+
+
+def _in_spans(line: DataFrame, span_rows: int) -> DataFrame:
+    """Each row's span of its key's time line, shorter the denser the key is somewhere.
+
+    A part of the plan, not a job before it: rows are counted by key and usual span,
+    which the scan combines before it shuffles, and only the dense keys come back.
+    """
+    counts = line.groupBy("_key", F.floor(F.col("_at") / SPAN).alias("_s")).count()
+    parts = F.ceil(F.max("count") / span_rows)
+    dense = counts.groupBy("_key").agg(parts.alias("_parts")).filter("_parts > 1")
+    length = F.greatest(F.lit(1), F.floor(F.lit(SPAN) / F.coalesce("_parts", F.lit(1))))
+    return (
+        line.join(dense, "_key", "left")
+        .withColumn("_span", F.floor(F.col("_at") / length))
+        .drop("_parts")
     )
 
 
@@ -124,81 +141,13 @@ def self_lookups(
     at: str,
     value: str,
     lookups: Sequence[Lookup],
-    hot_rows: int = HOT_ROWS,
+    span_rows: int = SPAN_ROWS,
 ) -> DataFrame:
     """Add one column per lookup: another observation's ``value`` of the same key.
 
-    (key, at) must be unique. Ordinary keys go through one shuffle and one sort
-    for all lookups together; hot keys, found by a count first, are cut by time.
-    """
-    sizes = key_sizes(df.select(F.col(key).alias("_key"), F.unix_micros(at).alias("_at")))
-    hot = hot_keys(sizes, hot_rows)
-    if not hot:
-        return _by_frames(df, key, at, value, lookups)
-    if len(hot) > MAX_HOT_KEYS:
-        return _by_spans(df, key, at, value, lookups, fitting_span(sizes))
-    span = _span_for(max(densest for _, densest in hot))
-    is_hot = F.coalesce(F.col(key).isin([name for name, _ in hot]), F.lit(False))
-    cold = _by_frames(df.filter(~is_hot), key, at, value, lookups)
-    return cold.unionByName(_by_spans(df.filter(is_hot), key, at, value, lookups, span))
-
-
-def key_sizes(line: DataFrame) -> DataFrame:
-    """Rows per ``_key``, and the most rows it has in one span of ``_at``.
-
-    Counted per span first, which the scan combines before it shuffles.
-    """
-    counts = line.groupBy("_key", F.floor(F.col("_at") / SPAN).alias("_span")).count()
-    return counts.groupBy("_key").agg(F.sum("count").alias("n"), F.max("count").alias("densest"))
-
-
-def hot_keys(sizes: DataFrame, hot_rows: int = HOT_ROWS) -> list[tuple[str, int]]:
-    """(key, densest span) of the keys to cut by time.
-
-    One more than MAX_HOT_KEYS of them means there are too many to list.
+    Every row comes back once, with nulls where its key or time is null. One thin probe
+    per moment and lookup goes through ``neighbours``, whatever the size of the key.
     """
-    hot = sizes.filter((F.col("n") > hot_rows) | (F.col("densest") > DENSE_ROWS))
-    listed = hot.select("_key", "densest").limit(MAX_HOT_KEYS + 1).collect()
-    return [(row["_key"], row["densest"]) for row in listed]
-
-
-def _span_for(densest: int | None) -> int:
-    pieces = max(1, math.ceil((densest or 0) / SPAN_ROWS))
-    return max(SHORTEST_SPAN, SPAN // pieces)
-
-
-def fitting_span(sizes: DataFrame) -> int:
-    """A span short enough for the densest stretch of any key."""
-    return _span_for(sizes.agg(F.max("densest")).first()[0])
-
-
-def _by_frames(df, key, at, value, lookups) -> DataFrame:
-    """Bounded RANGE frames over one (key, time) ordering."""
-    us = F.unix_micros(at)
-    ordered = Window.partitionBy(key).orderBy("_us")
-    timed = df.withColumn("_us", us).withColumn(
-        "_seen", F.struct(F.col("_us").alias("at"), F.col(value).alias("v"))
-    )
-    found = {}
-    for spec in lookups:
-        ahead = ordered.rangeBetween(spec.offset_us, spec.offset_us + spec.tolerance_us)
-        found[f"_next_{spec.name}"] = F.first("_seen").over(ahead)
-        if spec.direction == "nearest":
-            back = ordered.rangeBetween(spec.offset_us - spec.tolerance_us, spec.offset_us)
-            found[f"_prev_{spec.name}"] = F.last("_seen").over(back)
-    framed = timed.select("*", *[c.alias(n) for n, c in found.items()])
-    chosen = []
-    for spec in lookups:
-        nxt = F.col(f"_next_{spec.name}")
-        if spec.direction == "nearest":
-            target = F.col("_us") + spec.offset_us
-            nxt = nearest(F.col(f"_prev_{spec.name}"), nxt, target, spec.tolerance_us)
-        chosen.append(nxt["v"].alias(spec.name))
-    return framed.select(*df.columns, *chosen)
-
-
-def _by_spans(df, key, at, value, lookups, span_us) -> DataFrame:
-    """The same answers through ``neighbours``: one thin probe per row and lookup."""
     us = F.unix_micros(at)
     offsets = F.array(
         *[F.struct(F.lit(i).alias("i"), F.lit(s.offset_us).cast("bigint").alias("by"))
@@ -206,9 +155,9 @@ def _by_spans(df, key, at, value, lookups, span_us) -> DataFrame:
     )
     probes = df.select(F.col(key), us.alias("_own"), F.explode(offsets).alias("_o")).select(
         key, "_own", F.col("_o.i").alias("_i"), (F.col("_own") + F.col("_o.by")).alias("_target")
-    )
+    ).filter(F.col(key).isNotNull() & F.col("_own").isNotNull())
     seen = df.select(F.col(key), us.alias("_us"), F.col(value).alias("v"))
-    found = neighbours(probes, seen, key, "_target", "_us", ["v"], span_us=span_us)
+    found = neighbours(probes, seen, key, "_target", "_us", ["v"], span_rows=span_rows)
     answers = []
     for i, spec in enumerate(lookups):
         if spec.direction == "nearest":
@@ -221,7 +170,7 @@ def _by_spans(df, key, at, value, lookups, span_us) -> DataFrame:
     wide = found.groupBy(key, "_own").agg(*answers)
     return (
         df.withColumn("_own", us)
-        .join(wide, [key, "_own"])
+        .join(wide, [key, "_own"], "left")
         .select(*df.columns, *[s.name for s in lookups])
     )
 
@@ -245,12 +194,7 @@ def asof_join(
     sides = {"forward": ("next",), "backward": ("prev",), "nearest": ("prev", "next")}[direction]
     targets = probes.withColumn("_target", F.unix_micros(probe_at) + F.lit(offset_us))
     seen = observations.select(key, F.unix_micros(observed_at).alias("_us"), value)
-    times = [
-        frame.select(F.col(key).alias("_key"), F.col(us).alias("_at"))
-        for frame, us in ((targets, "_target"), (seen, "_us"))
-    ]
-    span = fitting_span(key_sizes(times[0].unionByName(times[1])))
-    found = neighbours(targets, seen, key, "_target", "_us", [value], sides, span)
+    found = neighbours(targets, seen, key, "_target", "_us", [value], sides)
     target = F.col("_target")
     if direction == "nearest":
         best = nearest(F.col("prev"), F.col("next"), target, tolerance_us)

@@ -16,6 +16,7 @@ from fareloom.functions.urls import deep_link
 TOLERANCE_PCT = 1.0
 MAX_ATTEMPTS = 3
 
+# Fixed value: stored in the ledger as it is.
 RECONCILED_ABSENT = "reconciled: no order carrying this key exists at the carrier"
 
 
@@ -102,6 +103,53 @@ def price_guard(
     )
 
 
+def book_requests(requests: DataFrame, latest: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Requests resolved in one go: the offer exists, the claim, the price, the answer.
+
+    A request for an offer that is not there takes no key (``state`` is no_offer). The
+    winner of a key is ``failed`` if the price rose, else ``pending``; the others replay
+    the winner, or the booking the ledger holds.
+    """
+    checked = price_guard(requests, latest)
+    found = checked.filter("status <> 'no_offer'")
+    claimed = claims(found, ledger)
+    new_state = F.when(F.col("status") == "price_changed", "failed").otherwise("pending")
+    winners = claimed.filter("is_new").select(
+        "idempotency_key",
+        new_state.alias("_state"),
+        F.col("last_error").alias("_error"),
+    )
+    told = claimed.join(winners, "idempotency_key", "left")
+    repeated = replay_detail(F.col("_state"), F.lit(None).cast("string"), F.col("_error"))
+    booked = told.select(
+        "request_id",
+        "idempotency_key",
+        "is_new",
+        F.coalesce("_state", "state").alias("state"),
+        F.when(F.col("is_new"), F.col("last_error"))
+        .when(F.col("_state").isNotNull(), repeated)
+        .otherwise(F.col("detail"))
+        .alias("detail"),
+    )
+    gone = checked.filter("status = 'no_offer'").select(
+        "request_id",
+        F.lit(None).cast("string").alias("idempotency_key"),
+        F.lit(False).alias("is_new"),
+        F.lit("no_offer").alias("state"),
+        F.lit(None).cast("string").alias("detail"),
+    )
+    return booked.unionByName(gone)
+
+
+def booking_status(asked: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The booking behind each asked ``idempotency_key``; ``state`` is none if there is none."""
+    keys = asked.select("idempotency_key").filter("idempotency_key is not null").distinct()
+    held = ledger.select("idempotency_key", "offer_id", "state", "provider_reference")
+    return keys.join(held, "idempotency_key", "left").withColumn(
+        "state", F.coalesce("state", F.lit("none"))
+    )
+
+
 # ---------------------------------------------------------------- attempts --
 
 

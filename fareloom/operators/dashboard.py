@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.functions import times
-from fareloom.operators.joins import join_few
+from fareloom.operators.joins import join_groups
 from fareloom.operators.ordered import quantiles
 
 PRICE = "price_ngn"
@@ -39,7 +39,7 @@ def price_spread(history: DataFrame, by: tuple[str, ...] = ("carrier",)) -> Data
     priced = history.select(*by, _price().alias(PRICE))
     box = _quartiles(priced, by)
     inside = F.col(PRICE).between(F.col("fence_low"), F.col("fence_high"))
-    placed = join_few(priced, box, list(by))
+    placed = join_groups(priced, box, list(by))
     return placed.groupBy(*by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(PRICE))).alias("whisker_low"),
         F.max(F.when(inside, F.col(PRICE))).alias("whisker_high"),
@@ -51,7 +51,7 @@ def price_outliers(history: DataFrame, by: tuple[str, ...] = ("carrier",)) -> Da
     """The rows beyond the whiskers."""
     box = _quartiles(history.select(*by, _price().alias(PRICE)), by)
     inside = _price().between(F.col("fence_low"), F.col("fence_high"))
-    return join_few(history, box, list(by)).filter(~inside).select(*history.columns)
+    return join_groups(history, box, list(by)).filter(~inside).select(*history.columns)
 
 
 def _quartiles(priced: DataFrame, by: tuple[str, ...]) -> DataFrame:
@@ -72,7 +72,7 @@ def carrier_summary(history: DataFrame) -> DataFrame:
         F.min(PRICE).alias("cheapest"),
         F.max(PRICE).alias("dearest"),
     )
-    return ends.join(middle, list(by)).orderBy("typical", "carrier")
+    return join_groups(ends, middle, list(by)).orderBy("typical", "carrier")
 
 
 def urgency_curve(history: DataFrame) -> DataFrame:

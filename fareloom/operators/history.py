@@ -102,6 +102,6 @@ def feed_freshness(latest: DataFrame, now: Column, stale_after: int = 900) -> Da
     per_carrier = latest.groupBy("carrier").agg(
         F.max("fetched_at").alias("newest"), F.count("*").alias("n_offers")
     )
-    return per_carrier.withColumn("age_seconds", F.round(age, 1)).withColumn(
+    return per_carrier.withColumn("age_seconds", F.bround(age, 1)).withColumn(
         "stale", age > stale_after
     )

@@ -56,9 +56,9 @@ def _canonical(
         origin.alias("origin"),
         destination.alias("destination"),
         times.render_local(depart, zone, zero="Z").alias("depart_time"),
-        duration.cast("int").alias("duration_min"),
+        duration.try_cast("int").alias("duration_min"),
         price.cast("double").alias("price_ngn"),
-        seats.cast("int").alias("seats_left"),
+        seats.try_cast("int").alias("seats_left"),
         url.alias("booking_url"),
         fetched.alias("fetched_at"),
     )
@@ -201,8 +201,8 @@ def coerce(records: DataFrame) -> DataFrame:
     """String-typed offers, as a hash store returns them, with their types back."""
     return records.withColumns(
         {
-            "duration_min": F.col("duration_min").try_cast("double").cast("int"),
-            "seats_left": F.col("seats_left").try_cast("double").cast("int"),
+            "duration_min": F.col("duration_min").try_cast("double").try_cast("int"),
+            "seats_left": F.col("seats_left").try_cast("double").try_cast("int"),
             "price_ngn": F.col("price_ngn").try_cast("double"),
         }
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareloom.operators.joins import join_groups
 from fareloom.operators.ordered import quantiles
 
 # Requests allowed per minute, and the paths never limited.
@@ -62,7 +63,7 @@ def latency_by_path(requests: DataFrame) -> DataFrame:
         F.count("*").alias("n_requests"),
         F.avg((F.col("duration_ms") > TARGET_MS).cast("double")).alias("share_over_target"),
     )
-    return share.join(tail, "path")
+    return join_groups(share, tail, ["path"])
 
 
 def unknown_per_week(lines: DataFrame, body: str = "line") -> DataFrame:

@@ -135,8 +135,7 @@ def stream_dedup(v):
     copies = F.explode(F.array(F.lit(1), F.lit(2)))
     twice = offers.select("*", copies.alias("_copy")).drop("_copy")
     out, marks = new_path(v.spark, "history"), new_path(v.spark, "marks")
-    once = flows.distinct_offers(twice)
-    flows.write_history(once, out, marks, once=True).awaitTermination()
+    flows.write_history(twice, out, marks, once=True).awaitTermination()
     stored = tables.read_history(v.spark, out)
     return stored.select(
         "offer_id", "carrier", "mode", "origin", "destination",

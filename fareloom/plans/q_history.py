@@ -26,6 +26,17 @@ def history_scan(v):
     return _stored(v.history)
 
 
+_HOT_SQL = (
+    S.with_views(S.OBS)
+    + """SELECT a.event_id, b.p AS later_price
+  FROM (SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN 'all' END AS k,
+      date_trunc('minute', fetched_at) + INTERVAL 6 HOURS AS target FROM obs) a
+  ASOF LEFT JOIN (SELECT 'all' AS k, date_trunc('minute', fetched_at) AS t,
+      min(CAST(price_ngn AS DOUBLE)) AS p FROM obs WHERE event_id % 50 <> 0 GROUP BY 2) b
+    ON a.k = b.k AND a.target <= b.t"""
+)
+
+
 @question("history_upsert", S.with_views(S.OBS) + _STORED_SQL)
 def history_upsert(v):
     """Half the history, then all of it with that half again: each fact once."""
@@ -36,6 +47,44 @@ def history_upsert(v):
     return _stored(tables.read_history(v.spark, path))
 
 
+@question(
+    "history_conflicts",
+    S.with_views(S.OBS)
+    + """SELECT offer_id, epoch_us(fetched_at) AS fetched_us, 2 AS deliveries
+    FROM obs WHERE event_id % 7 = 0""",
+)
+def history_conflicts(v):
+    """The whole history, then a seventh of it at another price: the keys that disagree."""
+    path = new_path(v.spark, "history")
+    tables.append_history(v.history, path)
+    again = v.obs.filter(F.col("event_id") % 7 == 0).withColumn(
+        "price_ngn", F.col("price_ngn") + 1
+    )
+    found = tables.conflicts(again.select(*v.history.columns), path)
+    return found.select(
+        "offer_id", F.unix_micros("fetched_at").alias("fetched_us"),
+        F.col("deliveries").cast("int").alias("deliveries"),
+    )
+
+
+@question(
+    "lookups_of_a_hot_key",
+    _HOT_SQL,
+)
+def lookups_of_a_hot_key(v):
+    """The as-of lookups with every observation under one key, ties and null keys included."""
+    rows = v.obs.select(
+        "event_id",
+        F.when(F.col("event_id") % 50 != 0, "all").alias("k"),
+        F.date_trunc("minute", "fetched_at").alias("t"),
+        F.col("price_ngn").cast("double").alias("p"),
+    )
+    specs = [asof.Lookup("later", 6 * times.HOUR, 4000 * times.DAY, "forward")]
+    return asof.self_lookups(rows, "k", "t", "p", specs, 500).select(
+        "event_id", F.col("later").alias("later_price")
+    )
+
+
 @question(
     "recent_history",
     S.with_views(S.OBS)
@@ -422,7 +471,8 @@ def daily_price(v):
       price_ngn BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside
     FROM obs o JOIN (SELECT carrier, mode, quantile_cont(price_ngn, 0.25) AS q1,
       quantile_cont(price_ngn, 0.5) AS median, quantile_cont(price_ngn, 0.75) AS q3
-      FROM obs GROUP BY 1, 2) b USING (carrier, mode))
+      FROM obs GROUP BY 1, 2) b ON o.carrier IS NOT DISTINCT FROM b.carrier
+        AND o.mode IS NOT DISTINCT FROM b.mode)
   GROUP BY 1, 2, 3, 4, 5""",
 )
 def price_spread(v):

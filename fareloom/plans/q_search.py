@@ -424,6 +424,38 @@ def booking_claims(v):
     )
 
 
+@question(
+    "book_requests",
+    S.with_views(S.OBS, S.LATEST_OBS, S.BOOKING_REQUESTS, S.LEDGER)
+    + """
+  SELECT request_id, idempotency_key, is_new,
+    CASE WHEN held_state IS NOT NULL THEN held_state WHEN first_moved THEN 'failed'
+      ELSE 'pending' END AS state
+  FROM (SELECT k.request_id, k.idempotency_key, g.state AS held_state,
+      g.state IS NULL AND row_number() OVER w = 1 AS is_new,
+      first_value(l.price_ngn > k.quoted_price_ngn * 1.01::DOUBLE) OVER w AS first_moved
+    FROM keyed k JOIN latest_obs l USING (offer_id) LEFT JOIN ledger g USING (idempotency_key)
+    WINDOW w AS (PARTITION BY k.idempotency_key ORDER BY k.requested_at, k.request_id))
+  UNION ALL SELECT request_id, NULL, false, 'no_offer' FROM breq
+  WHERE offer_id NOT IN (SELECT offer_id FROM latest_obs)""",
+)
+def book_requests(v):
+    return bookings.book_requests(v.booking_requests, v.latest_obs, v.ledger).select(
+        "request_id", "idempotency_key", "is_new", "state"
+    )
+
+
+@question(
+    "booking_status",
+    S.with_views(S.OBS, S.BOOKING_REQUESTS, S.LEDGER)
+    + """SELECT k.idempotency_key, l.offer_id, coalesce(l.state, 'none') AS state,
+    l.provider_reference
+  FROM (SELECT DISTINCT idempotency_key FROM keyed) k LEFT JOIN ledger l USING (idempotency_key)""",
+)
+def booking_status(v):
+    return bookings.booking_status(bookings.with_key(v.booking_requests), v.ledger)
+
+
 @question(
     "price_guard",
     S.with_views(S.OBS, S.LATEST_OBS, S.BOOKING_REQUESTS)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.operators.contract import history_problems
-from fareloom.operators.history import new_facts
+from fareloom.operators.history import KEY, facts, new_facts
 from fareloom.sources.schemas import HISTORY, OFFER_COLUMNS as HISTORY_COLUMNS
 
 DAY = "fetch_day"
@@ -40,33 +40,58 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
 
 
+def _days_of(rows: DataFrame) -> list:
+    """The distinct UTC days of the rows: as many values as the calendar has."""
+    return [r["day"] for r in rows.select(F.to_date("fetched_at").alias("day")).distinct().collect()]
+
+
+def _held(spark: SparkSession, path: str, days: list) -> DataFrame | None:
+    """The stored facts of those days, read from their folders only."""
+    if not is_folder(spark, path):
+        return None
+    stored = spark.read.schema(f"{HISTORY}, {DAY} date").parquet(path)
+    return stored.filter(F.col(DAY).isin(days)).select(*HISTORY_COLUMNS)
+
+
+def conflicts(arrivals: DataFrame, path: str) -> DataFrame:
+    """Keys whose deliveries disagree, among themselves or with the stored history.
+
+    One row per key with the smallest fact, the deliveries counted and ``conflicting``.
+    """
+    fresh = as_history(arrivals)
+    days = _days_of(fresh)
+    held = _held(arrivals.sparkSession, path, days) if days else None
+    seen = fresh
+    if held is not None:
+        touched = held.join(fresh.select(*KEY).distinct(), KEY, "left_semi")
+        seen = fresh.unionByName(as_history(touched))
+    return facts(seen).filter("conflicting")
+
+
 def append_history(arrivals: DataFrame, path: str) -> None:
     """Append the facts the history does not hold. Redelivery changes nothing.
 
-    A row the table may not hold stops the append before anything is written.
-    Only the days present in the arrivals are read back for the comparison.
+    A row the table may not hold stops the append before anything is written. The
+    arrivals are computed once, and only the days they touch are read back. Where a fact
+    disagrees with a stored one, the stored one stays; ``conflicts`` lists such keys.
     """
     spark = arrivals.sparkSession
-    fresh = as_history(arrivals)
-    bounds = fresh.agg(
-        F.to_date(F.min("fetched_at")).alias("low"),
-        F.to_date(F.max("fetched_at")).alias("high"),
-        F.count_if(F.size(history_problems()) > 0).alias("refused"),
-    ).first()
-    if bounds["refused"]:
-        raise ValueError(f"{bounds['refused']} rows break the rules of the history table")
-    if bounds["low"] is None:
-        return
-    if is_folder(spark, path):
-        stored = spark.read.schema(f"{HISTORY}, {DAY} date").parquet(path)
-        touched = stored.filter(F.col(DAY).between(bounds["low"], bounds["high"]))
-        fresh = new_facts(touched, fresh)
-    else:
-        fresh = new_facts(fresh.limit(0), fresh)
-    # Rebalancing gathers the rows of a small day and splits those of a large one.
-    fresh.withColumn(DAY, F.to_date("fetched_at")).hint("rebalance", DAY).write.mode(
-        "append"
-    ).partitionBy(DAY).parquet(path)
+    fresh = as_history(arrivals).persist()  # spills to disk
+    try:
+        refused = fresh.filter(F.size(history_problems()) > 0).count()
+        if refused:
+            raise ValueError(f"{refused} rows break the rules of the history table")
+        days = _days_of(fresh)
+        if not days:
+            return
+        held = _held(spark, path, days)
+        new = new_facts(fresh.limit(0) if held is None else held, fresh)
+        # Rebalancing gathers the rows of a small day and splits those of a large one.
+        new.withColumn(DAY, F.to_date("fetched_at")).hint("rebalance", DAY).write.mode(
+            "append"
+        ).partitionBy(DAY).parquet(path)
+    finally:
+        fresh.unpersist()
 
 
 def write_latest(latest: DataFrame, path: str) -> None:

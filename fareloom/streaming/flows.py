@@ -25,20 +25,6 @@ def union_feeds(feeds: Mapping[str, DataFrame], unknown_place: str | None = "PHC
     return unify(feeds, unknown_place)
 
 
-def distinct_offers(offers: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop redeliveries whose copies arrive within ``delay`` of each other.
-
-    The watermark bounds the state. ``append_history`` stays exact for copies
-    that arrive later than that.
-    """
-    stamped = offers.withColumn("_at", times.instant(F.col("fetched_at")))
-    return (
-        stamped.withWatermark("_at", delay)
-        .dropDuplicatesWithinWatermark(["offer_id", "fetched_at"])
-        .drop("_at")
-    )
-
-
 def running_latest(offers: DataFrame) -> DataFrame:
     """Latest offer per departure as a running aggregate (update or complete mode)."""
     observed = times.instant(F.col("fetched_at")).alias("at")
@@ -62,8 +48,9 @@ def write_history(
     once: bool = False,
     quarantine: str | None = None,
 ) -> StreamingQuery:
-    """Append the stream to the history table, each fact once.
+    """Append the stream to the history table, each fact once, however late it comes.
 
+    There is no watermark: what the table already holds decides what is new.
     A row the table may not hold stops the stream, unless ``quarantine`` names a
     place for it. Keys whose deliveries disagree are listed beside it, under
     ``<quarantine>-conflicts``; the history then keeps one of them.
@@ -80,7 +67,7 @@ def write_history(
                 rows.filter(F.size("problems") > 0).write.mode("overwrite").parquet(
                     f"{quarantine}/{slot}"
                 )
-                _, conflicts = hist.split_conflicts(good.drop("problems"))
+                conflicts = tables.conflicts(good.drop("problems"), path)
                 conflicts.write.mode("overwrite").parquet(f"{quarantine}-conflicts/{slot}")
             tables.append_history(good, path)
         finally:

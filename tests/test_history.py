@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fareloom.functions import times
 from fareloom.operators import asof, dashboard, evaluate, features, history, ordered, training
-from fareloom.operators.joins import FEW_ROWS, join_few
+from fareloom.operators.joins import join_groups
 from fareloom.sources import tables
 
 HISTORY_DDL = (
@@ -128,10 +128,6 @@ def _random_history(n=600, offers=5, seed=7):
     return frame
 
 
-def _sizes(df, key, at):
-    return asof.key_sizes(df.select(F.col(key).alias("_key"), F.unix_micros(at).alias("_at")))
-
-
 def _merge(frame, hours, direction):
     sign = 1 if direction == "forward" else -1
     left = frame[["offer_id", "fetched_at"]].copy()
@@ -151,11 +147,11 @@ def _merge(frame, hours, direction):
 LOOKUPS = [*features.PAST, features.FUTURE]
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 0], ids=["frames", "spans"])
-def test_lookups_equal_pandas_on_both_paths(spark, hot_rows):
+@pytest.mark.parametrize("span_rows", [asof.SPAN_ROWS, 3], ids=["usual", "dense"])
+def test_lookups_equal_pandas(spark, span_rows):
     frame = _random_history()
     df = spark.createDataFrame(frame)
-    found = asof.self_lookups(df, "offer_id", "fetched_at", "price_ngn", LOOKUPS, hot_rows)
+    found = asof.self_lookups(df, "offer_id", "fetched_at", "price_ngn", LOOKUPS, span_rows)
     rows = found.collect()
     assert len(rows) == len(frame)
     for name, hours, direction in [
@@ -167,42 +163,26 @@ def test_lookups_equal_pandas_on_both_paths(spark, hot_rows):
         assert got == expected, name
 
 
-def test_hot_and_ordinary_keys_together_equal_one_path(spark):
-    frame = _random_history()
-    extra = _random_history(2000, 1, seed=9).assign(offer_id="hot")
-    df = spark.createDataFrame(pd.concat([frame, extra]))
-    assert [k for k, _ in asof.hot_keys(_sizes(df, "offer_id", "fetched_at"), 300)] == ["hot"]
-    order = ["offer_id", "fetched_at"]
-
-    def answer(limit):
-        return asof.self_lookups(
-            df, "offer_id", "fetched_at", "price_ngn", LOOKUPS, limit
-        ).orderBy(order).collect()
-
-    assert answer(300) == answer(10**9)
-
-
-def test_a_dense_burst_makes_a_key_hot(spark):
-    burst = spark.range(asof.DENSE_ROWS + 1).select(
-        F.lit("a").alias("k"), F.timestamp_seconds(F.col("id")).alias("t")
+def test_nulls_stay_and_ties_have_one_answer(spark):
+    rows = [
+        ("a", "2026-09-01 00:00:00", 1.0), ("a", "2026-09-02 00:00:00", 12.0),
+        ("a", "2026-09-02 00:00:00", 11.0), (None, "2026-09-01 00:00:00", 5.0), ("a", None, 6.0),
+    ]
+    df = spark.createDataFrame(rows, "k string, t string, v double").withColumn(
+        "t", F.col("t").cast("timestamp")
     )
-    assert asof.hot_keys(_sizes(burst, "k", "t")) == [("a", asof.DENSE_ROWS + 1)]
-    assert asof.hot_keys(_sizes(burst.limit(10), "k", "t")) == []
-
-
-def test_spans_shrink_with_density():
-    assert asof._span_for(None) == asof._span_for(asof.SPAN_ROWS) == asof.SPAN
-    assert asof._span_for(10 * asof.SPAN_ROWS) == asof.SPAN // 10
-    assert asof._span_for(10**15) == asof.SHORTEST_SPAN
-
-
-def test_short_spans_give_the_same_answers(spark):
-    frame = _random_history(300, 2)
-    df = spark.createDataFrame(frame)
-    order = ["offer_id", "fetched_at"]
-    args = (df, "offer_id", "fetched_at", "price_ngn", LOOKUPS)
-    short = asof._by_spans(*args, asof.SHORTEST_SPAN * 600).orderBy(order).collect()
-    assert short == asof._by_frames(*args).orderBy(order).collect()
+    specs = [
+        asof.Lookup("later", times.DAY, 0, "forward"),
+        asof.Lookup("earlier", -times.DAY, 0, "nearest"),
+    ]
+    expected = [
+        (None, 5.0, None, None), ("a", 1.0, 11.0, None), ("a", 6.0, None, None),
+        ("a", 11.0, None, 1.0), ("a", 12.0, None, 1.0),
+    ]
+    for span_rows in (asof.SPAN_ROWS, 1):
+        found = asof.self_lookups(df, "k", "t", "v", specs, span_rows)
+        got = [(r.k, r.v, r.later, r.earlier) for r in found.collect()]
+        assert sorted(got, key=repr) == sorted(expected, key=repr)
 
 
 def test_asof_ties_bounds_and_tolerance(spark, seen):
@@ -242,14 +222,6 @@ def test_neighbours_cross_many_empty_spans(spark, seen):
     assert (look("backward"), look("forward")) == (1.0, 2.0)
 
 
-def test_frames_share_one_shuffle_and_one_window(spark):
-    df = spark.createDataFrame(_random_history(60, 3))
-    found = asof.self_lookups(df, "offer_id", "fetched_at", "price_ngn", LOOKUPS)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.count("Window [") == 1
-
-
 # ----------------------------------------------------------------- features --
 
 
@@ -400,10 +372,19 @@ def test_box_figures_and_outliers(spark):
     assert [r["price_ngn"] for r in dashboard.price_outliers(df).collect()] == [100.0]
 
 
-def test_join_few_has_a_way_beyond_its_limit(spark):
-    big = spark.range(FEW_ROWS + 5).withColumnRenamed("id", "k")
-    assert join_few(big, big.filter("k < 3"), ["k"]).count() == 3
-    assert join_few(big, big, ["k"]).count() == FEW_ROWS + 5
+def test_null_groups_meet(spark):
+    left = spark.createDataFrame([("a", 1), (None, 2)], "k string, x int")
+    right = spark.createDataFrame([("a", 3), (None, 4)], "k string, y int")
+    got = [tuple(r) for r in join_groups(left, right, ["k"]).collect()]
+    assert sorted(got, key=repr) == sorted([("a", 1, 3), (None, 2, 4)], key=repr)
+
+
+def test_summaries_keep_the_null_group(spark, seen):
+    rows = seen(("a", "2026-09-01 00:00:00", 10)).withColumns(
+        {"carrier": F.lit(None).cast("string"), "mode": F.lit("air")}
+    )
+    assert dashboard.carrier_summary(rows).count() == 1
+    assert dashboard.price_spread(rows, ("carrier",)).count() == 1
 
 
 # ----------------------------------------------------------------- training --
