@@ -29,9 +29,9 @@ from fareloom.llm.common import pieces, prepare, stored
 
 VOCABULARY = "word_bpe_49k.json"
 LEAF = 4096
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 LONG = 65536  # characters from which leaves are dealt out
-KEPT = 400_000  # parts a worker remembers, about; common ones come first
+KEPT = 150_000  # parts a worker remembers, about; common ones come first
 # Characters for which Python's idea of space, lower case or composition may differ.
 _BEYOND = re.compile("[^\t-\r\x20-\x7e\xa1-\xff]")
 
@@ -48,19 +48,16 @@ class TreeEncoder:
     def __init__(self, path: str, leaf: int = LEAF):
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        self.whole.no_truncation()
-        self.whole.no_padding()
         self.parts = Tokenizer.from_file(path)
         self.parts.no_truncation()
         self.parts.no_padding()
         self.normalizer = self.parts.normalizer
         self.parts.normalizer = None  # parts come normalised
         self.leaf = leaf
-        size = self.whole.get_vocab_size(with_added_tokens=True)
-        names = [self.whole.id_to_token(i) for i in range(size)]
+        size = self.parts.get_vocab_size(with_added_tokens=True)
+        names = [self.parts.id_to_token(i) for i in range(size)]
         self.names = [x if x is not None else "" for x in names]
-        self.added = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
+        self.added = {t.content: i for i, t in self.parts.get_added_tokens_decoder().items()}
         # Bytes of each token: a character of its name is a byte, the word end is none.
         self.widths = np.array(
             [len(x.removesuffix("</w>") if x else "") for x in names], np.int64

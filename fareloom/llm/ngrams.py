@@ -26,7 +26,7 @@ from fareloom.llm.hashing import words_of
 BITS = 15
 KINDS = ("word 1", "word 2", "byte 2", "byte 3", "byte 4")
 SCALE = 10.0
-LABELLED_ROWS = 6000  # the bound of the sample the classifier is fitted on
+LABELLED_ROWS = 3000  # the bound of the sample the classifier is fitted on
 THRESHOLD = 0.5
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"

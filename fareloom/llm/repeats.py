@@ -7,7 +7,7 @@ in an indexed block. A block that nothing else meets ends there. Where something
 the hits are extended to the windows around them, and those are compared by their own
 hash, so a repeat comes out at its full length.
 
-Documents are dealt into groups of a few megabytes and hashes into buckets. A group
+Documents are dealt into groups of two megabytes or so and hashes into buckets. A group
 sends each bucket one row with the hashes in reading order, and the bucket answers with
 one bit per hash. No position travels, no pair is made, and a passage in every document
 costs a bucket one hash per occurrence. The exchange of the documents is used three
@@ -31,8 +31,8 @@ from fareloom.llm.common import partitions, prepare, text_bytes, words
 from fareloom.llm.hashing import Words, words_of
 
 WINDOW = 35
-GROUP_BYTES = 4 << 20
-PART_BYTES = 1 << 20
+GROUP_BYTES = 2 << 20
+PART_BYTES = 1 << 19
 
 MESSAGE = "bucket int, g int, kind int, hashes binary, marks binary"
 
@@ -131,27 +131,28 @@ class Repeats:
         return np.flatnonzero(near & (total - rank >= self.window))
 
     def _extended(self, table: pa.Table, answers: pa.Table):
-        """Each part's documents, words, candidate windows and their two hashes."""
+        """Each part's documents, number of words, candidate windows and their two hashes."""
         parts = list(_parts(_ordered(table, self.text), self.text))
         probes = [self._probes(found) for _, found in parts]
         hits = _received(
             answers, 0, _buckets(np.concatenate([h for _, h in probes]), self.parts)
         )
         done = 0
-        for (docs, found), (at, h) in zip(parts, probes):
+        parts.reverse()  # taken from the end, so that each part is freed once it is done
+        for at, h in probes:
+            docs, found = parts.pop()
             near = self._candidates(found, at, hits[done : done + len(h)])
             done += len(h)
             first = found.hashes(near, self.window) if len(near) else np.zeros(0, np.uint64)
             second = found.hashes(near, self.window, 1) if len(near) else first
-            yield docs, found, near, first, second
+            yield docs, len(found.starts), near, first, second
 
     def extend(self, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows or not answers.num_rows:
             return pa.schema(_MESSAGE).empty_table()
         g = table.column("__g")[0].as_py()
-        found = list(self._extended(table, answers))
-        first = np.concatenate([f[3] for f in found])
-        second = np.concatenate([f[4] for f in found])
+        found = [f[3:] for f in self._extended(table, answers)]
+        first, second = (np.concatenate(h) for h in zip(*found))
         return _sent(g, 1, _buckets(second, self.parts), first, None, self.parts)
 
     def answer(self, table: pa.Table) -> pa.Table:
@@ -200,10 +201,10 @@ class Repeats:
             answers, 1, _buckets(np.concatenate([f[4] for f in found]), self.parts)
         )
         kept, n, r, done = [], [], [], 0
-        for docs, spots, near, _, _ in found:
+        for docs, size, near, _, _ in found:
             first = near[again[done : done + len(near)]]
             done += len(near)
-            edge = np.zeros(len(spots.starts) + 1, np.int64)
+            edge = np.zeros(size + 1, np.int64)
             np.add.at(edge, first, 1)
             np.add.at(edge, first + self.window, -1)
             gone = np.cumsum(edge[:-1]) > 0
