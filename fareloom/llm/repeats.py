@@ -8,10 +8,11 @@ the hits are extended to the windows around them, and those are compared by thei
 hash, so a repeat comes out at its full length.
 
 Documents are dealt into groups of two megabytes or so and hashes into buckets. A group
-sends each bucket one row with the hashes in reading order, and the bucket answers with
-one bit per hash. No position travels, no pair is made, and a passage in every document
-costs a bucket one hash per occurrence. The exchange of the documents is used three
-times: to probe, to extend and to remove.
+counts its own repeats first and sends each bucket one row with its distinct hashes, and
+the bucket answers with one bit per hash. No position travels, no pair is made, and a
+passage in every document costs a bucket one hash per group, however often the group
+holds it. The exchange of the documents is used three times: to probe, to extend and to
+remove.
 
 Probe hashes have 32 bits beside the bucket; a false hit only offers windows that the
 extension refuses. Windows are compared by 64 bits and a bucket taken from another hash.
@@ -32,9 +33,10 @@ from fareloom.llm.hashing import Words, words_of
 
 WINDOW = 35
 GROUP_BYTES = 2 << 20
+BUCKET_BYTES = 8 << 20  # of text, whose hashes meet in one bucket
 PART_BYTES = 1 << 19
 
-MESSAGE = "bucket int, g int, kind int, hashes binary, marks binary"
+MESSAGE = "bucket int, g int, kind int, hashes binary, many binary, marks binary"
 
 
 def _ordered(table: pa.Table, text: str) -> pa.Table:
@@ -60,45 +62,63 @@ def _buckets(hashes: np.ndarray, n: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def _sent(g: int, kind: int, bucket: np.ndarray, values: np.ndarray, marks, n: int):
-    """One row per bucket: its values, in reading order."""
-    order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(n + 1))
-    values = values[order]
-    marks = None if marks is None else marks[order]
+def _runs(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the places, buckets in a row, and where in it each distinct place begins."""
+    order = np.argsort(place, kind="stable")
+    told = place[order]
+    return order, np.flatnonzero(np.r_[True, told[1:] != told[:-1]][: len(told)])
+
+
+def _packed(bits: np.ndarray, edges: np.ndarray, full: np.ndarray) -> pa.Array:
+    return pa.array(
+        [np.packbits(bits[edges[b] : edges[b + 1]]).tobytes() for b in full], pa.binary()
+    )
+
+
+def _sent(g: int, kind: int, place: np.ndarray, values: np.ndarray, marks, n: int) -> pa.Table:
+    """One row per bucket: its distinct values, which of them occur more than once in the
+    group, and which are marked anywhere in it. ``place`` tells the bucket and the order."""
+    order, begins = _runs(place)
+    edges = np.searchsorted(_buckets(place[order[begins]], n), np.arange(n + 1))
+    values = values[order[begins]]
+    many = np.diff(np.r_[begins, len(order)]) > 1
     full = np.flatnonzero(np.diff(edges))
+    if marks is None:
+        told = pa.nulls(len(full), pa.binary())
+    else:
+        some = np.logical_or.reduceat(marks[order], begins) if len(begins) else marks
+        told = _packed(some, edges, full)
     return pa.table(
         {
             "bucket": pa.array(full, pa.int32()),
             "g": pa.array(np.full(len(full), g), pa.int32()),
             "kind": pa.array(np.full(len(full), kind), pa.int32()),
             "hashes": pa.array([values[edges[b] : edges[b + 1]].tobytes() for b in full], "binary"),
-            "marks": pa.array(
-                [
-                    None if marks is None else np.packbits(marks[edges[b] : edges[b + 1]]).tobytes()
-                    for b in full
-                ],
-                "binary",
-            ),
+            "many": _packed(many, edges, full),
+            "marks": told,
         }
     )
 
 
-def _received(answers: pa.Table, kind: int, bucket: np.ndarray) -> np.ndarray:
+def _received(answers: pa.Table, kind: int, place: np.ndarray, n: int) -> np.ndarray:
     """The buckets' bits, back in reading order; a bucket that found nothing sent nothing."""
-    order = np.argsort(bucket, kind="stable")
-    sizes = np.bincount(bucket) if len(bucket) else np.zeros(0, np.int64)
-    begins = np.cumsum(sizes) - sizes
-    found = np.zeros(len(bucket), bool)
+    order, begins = _runs(place)
+    edges = np.searchsorted(_buckets(place[order[begins]], n), np.arange(n + 1))
+    hit = np.zeros(len(begins), bool)
     for b, k, bits in zip(*(answers.column(c).to_pylist() for c in ("bucket", "kind", "marks"))):
         if k == kind:
-            some = np.unpackbits(np.frombuffer(bits, np.uint8), count=sizes[b]).astype(bool)
-            found[order[begins[b] : begins[b] + sizes[b]]] = some
+            hit[edges[b] : edges[b + 1]] = _bits(bits, edges[b + 1] - edges[b])
+    found = np.zeros(len(order), bool)
+    found[order] = np.repeat(hit, np.diff(np.r_[begins, len(order)]))
     return found
 
 
+def _bits(packed: bytes, count: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(packed, np.uint8), count=count).astype(bool)
+
+
 class Repeats:
-    """The passes over one table; ``parts`` of documents and of hashes."""
+    """The passes over one table, with ``parts`` buckets of hashes."""
 
     def __init__(self, text: str, window: int, parts: int):
         self.text, self.window, self.parts = text, window, parts
@@ -115,7 +135,7 @@ class Repeats:
             hashes.append(h)
             marks.append(found.rank()[at] % self.block == 0)
         h, marks = np.concatenate(hashes), np.concatenate(marks)
-        return _sent(g, 0, _buckets(h, self.parts), h.astype(np.uint32), marks, self.parts)
+        return _sent(g, 0, h, h.astype(np.uint32), marks, self.parts)
 
     def _candidates(self, found: Words, at: np.ndarray, hit: np.ndarray) -> np.ndarray:
         """First words of the windows that hold a hit block and fit into their document."""
@@ -134,9 +154,7 @@ class Repeats:
         """Each part's documents, number of words, candidate windows and their two hashes."""
         parts = list(_parts(_ordered(table, self.text), self.text))
         probes = [self._probes(found) for _, found in parts]
-        hits = _received(
-            answers, 0, _buckets(np.concatenate([h for _, h in probes]), self.parts)
-        )
+        hits = _received(answers, 0, np.concatenate([h for _, h in probes]), self.parts)
         done = 0
         parts.reverse()  # taken from the end, so that each part is freed once it is done
         for at, h in probes:
@@ -153,7 +171,7 @@ class Repeats:
         g = table.column("__g")[0].as_py()
         found = [f[3:] for f in self._extended(table, answers)]
         first, second = (np.concatenate(h) for h in zip(*found))
-        return _sent(g, 1, _buckets(second, self.parts), first, None, self.parts)
+        return _sent(g, 1, second, first, None, self.parts)
 
     def answer(self, table: pa.Table) -> pa.Table:
         """One bit per hash of a bucket: does it repeat (and, for probes, meet a block)?"""
@@ -162,20 +180,18 @@ class Repeats:
         blobs = rows.column("hashes").to_pylist()
         values = [np.frombuffer(b, np.uint64 if kind else np.uint32) for b in blobs]
         sizes = [len(v) for v in values]
+
+        def flags(column: str) -> np.ndarray:
+            return np.concatenate([_bits(m, s) for m, s in zip(rows.column(column).to_pylist(), sizes)])
+
         _, code, count = np.unique(
             np.concatenate(values), return_inverse=True, return_counts=True
         )
         good = count > 1
+        good[code[flags("many")]] = True
         if not kind:
-            marks = rows.column("marks").to_pylist()
-            aligned = np.concatenate(
-                [
-                    np.unpackbits(np.frombuffer(m, np.uint8), count=s).astype(bool)
-                    for m, s in zip(marks, sizes)
-                ]
-            )
             indexed = np.zeros(len(count), bool)
-            indexed[code[aligned]] = True
+            indexed[code[flags("marks")]] = True
             good &= indexed
         hit = np.split(good[code], np.cumsum(sizes)[:-1])
         told = [i for i, h in enumerate(hit) if h.any()]
@@ -185,6 +201,7 @@ class Repeats:
                 "g": rows.column("g").take(pa.array(told, pa.int64())),
                 "kind": rows.column("kind").take(pa.array(told, pa.int64())),
                 "hashes": pa.nulls(len(told), pa.binary()),
+                "many": pa.nulls(len(told), pa.binary()),
                 "marks": pa.array([np.packbits(hit[i]).tobytes() for i in told], "binary"),
             }
         )
@@ -197,9 +214,7 @@ class Repeats:
             )
         rows = _ordered(table, self.text)
         found = list(self._extended(table, answers))
-        again = _received(
-            answers, 1, _buckets(np.concatenate([f[4] for f in found]), self.parts)
-        )
+        again = _received(answers, 1, np.concatenate([f[4] for f in found]), self.parts)
         kept, n, r, done = [], [], [], 0
         for docs, size, near, _, _ in found:
             first = near[again[done : done + len(near)]]
@@ -230,6 +245,7 @@ _MESSAGE = [
     ("g", pa.int32()),
     ("kind", pa.int32()),
     ("hashes", pa.binary()),
+    ("many", pa.binary()),
     ("marks", pa.binary()),
 ]
 
@@ -250,8 +266,9 @@ def remove_repeats(
     through unchanged, whatever their names. An empty table gives an empty result.
     """
     spark = prepare(docs.sparkSession)
-    n = max(partitions(spark), -(-text_bytes(docs, text) // GROUP_BYTES))
-    passes = Repeats(text, window, n)
+    size = text_bytes(docs, text)
+    n, buckets = (max(partitions(spark), -(-size // b)) for b in (GROUP_BYTES, BUCKET_BYTES))
+    passes = Repeats(text, window, buckets)
     # Rows that agree in every column are told apart by nothing, and need not be.
     key = F.xxhash64(*[_hashable(docs, c) for c in docs.columns])
     keyed = docs.withColumn("__k", key).withColumn("__g", F.pmod("__k", F.lit(n)).cast("int"))
