@@ -9,6 +9,7 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +73,20 @@ def test_short_windows_inside_one_document(spark):
     assert got(cut, "doc_id", "n_words", "n_removed", "sha") == wanted
 
 
+def test_a_passage_everywhere_is_sent_once_a_group(spark):
+    passage = " ".join(f"p{i}" for i in range(40))
+    plain = [(i, f"a{i} b{i} " * (i % 3) + passage + f" c{i}") for i in range(300)]
+    group = pa.table({"text": [t for _, t in plain], "__k": range(300), "__g": [0] * 300})
+    sent = repeats.Repeats("text", repeats.WINDOW, 4).probe(group).to_pylist()
+    hashes = sum(len(r["hashes"]) // 4 for r in sent)
+    every = sum(max(0, len(t.split()) - 17) for _, t in plain)
+    assert hashes < every / 4
+    frame = spark.createDataFrame(plain, "doc_id long, text string")
+    cut = repeats.remove_repeats(frame).withColumn("sha", F.sha2("text", 256))
+    assert got(cut, "doc_id", "n_words", "n_removed", "sha") == brute.shown(brute.repeats(plain))
+    assert cut.agg(F.min("n_removed")).first()[0] == 40
+
+
 def test_simhash_groups(docs, rows, odd):
     for frame, plain in ((docs, rows), (odd, PAIRS)):
         assert got(simhash.groups(frame)) == brute.shown(brute.simhash_groups(plain))
