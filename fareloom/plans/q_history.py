@@ -564,15 +564,15 @@ def daily_accuracy(v):
 # ----------------------------------------------------------------- training --
 
 
-def _trained(v: Views, rounds: int, grid) -> tuple:
+def _trained(v: Views) -> tuple:
     """Features written once, so each tree reads a table and not the whole lineage."""
     rows = stored(features.build_features(v.history), "features")
-    return training.train(rows, grid=grid, rounds=rounds)
+    return training.train(rows)
 
 
 @question("train_metrics")
 def train_metrics(v):
-    _, report = _trained(v, 10, training.SEARCH_GRID)
+    _, report = _trained(v)
     record = training.run_record(v.spark, report, "gbt-demo")
     path = new_path(v.spark, "run")
     record.write.json(path)
@@ -582,7 +582,7 @@ def train_metrics(v):
 @question("score_latest")
 def score_latest(v):
     now = v.at(OBS_NOW)
-    model, _ = _trained(v, 5, training.SEARCH_GRID[:1])
+    model, _ = _trained(v)
     path = new_path(v.spark, "model")
     model.write().save(path)
     model = PipelineModel.load(path)
