@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,27 +82,42 @@ def feed_volume(v):
     return ops.feed_volume(messages)
 
 
+# The column in which each road feed names the place of departure.
+_BOARDING = {
+    "gigm": ("from_city", normalise.CITY_CODES),
+    "abctransport": ("origin_terminal", normalise.TERMINAL_CODES),
+    "crosscountry": ("start", normalise.CITY_CODES),
+    "chisco": ("board", normalise.CITY_CODES),
+}
+
+
 @question(
     "place_map",
     S.with_views(S.OBS)
     + f"""
-  SELECT CASE WHEN {_UNKNOWN} THEN 'Enugu' WHEN origin = 'LOS' THEN 'Lagos' WHEN origin = 'ABV'
-      THEN 'Abuja' WHEN origin = 'ONI' THEN 'Onitsha' ELSE 'Port Harcourt' END AS from_city,
+  SELECT carrier_key AS feed, CASE WHEN {_UNKNOWN} THEN 'Enugu'
+      WHEN carrier_key = 'abctransport' THEN CASE origin WHEN 'LOS' THEN 'LAGOS-JIBOWU'
+        WHEN 'ABV' THEN 'ABUJA-UTAKO' WHEN 'ONI' THEN 'ONITSHA-UPPER-IWEKA'
+        ELSE 'PORT-HARCOURT-WATERLINES' END
+      WHEN origin = 'LOS' THEN 'Lagos' WHEN origin = 'ABV' THEN 'Abuja'
+      WHEN origin = 'ONI' THEN 'Onitsha' ELSE 'Port Harcourt' END AS place,
     CASE WHEN {_UNKNOWN} THEN 'PHC' ELSE origin END AS code,
     CASE WHEN {_UNKNOWN} THEN NULL ELSE origin END AS strict_code, count(*) AS n
-  FROM obs WHERE carrier_key = 'gigm' GROUP BY ALL""",
+  FROM obs WHERE mode = 'road' GROUP BY ALL""",
 )
 def place_map(v):
-    city = F.col("from_city")
-    return (
-        v.encode(v.obs, "gigm")
-        .groupBy(
-            "from_city",
-            normalise.place_code(city, normalise.CITY_CODES).alias("code"),
-            normalise.place_code(city, normalise.CITY_CODES, None).alias("strict_code"),
+    """Every place name of the road feeds, with and without the default place."""
+    parts = [
+        v.encode(v.obs, key).select(
+            F.lit(key).alias("feed"),
+            F.col(column).alias("place"),
+            normalise.place_code(F.col(column), codes).alias("code"),
+            normalise.place_code(F.col(column), codes, None).alias("strict_code"),
         )
-        .agg(F.count("*").alias("n"))
-    )
+        for key, (column, codes) in _BOARDING.items()
+    ]
+    named = reduce(DataFrame.unionByName, parts)
+    return named.groupBy(*named.columns).agg(F.count("*").alias("n"))
 
 
 # ------------------------------------------------------------------ streams --
@@ -123,17 +140,18 @@ def stream_union(v):
     "stream_dedup",
     S.with_views(S.OBS)
     + f"""
-  SELECT offer_id, carrier, mode, origin, destination, epoch_us(depart_time) AS depart_us,
-    duration_min, price_ngn, seats_left, booking_url, fetched_us // 1000000 * 1000000 AS fetched_us
-  FROM (SELECT *, epoch_us(fetched_at) AS fetched_us FROM obs)
-  WHERE carrier_key = 'airpeace' AND event_id % 41 <> 0""",
+  SELECT offer_id, carrier, mode, origin, destination,
+    epoch_us(CAST(depart_time AS TIMESTAMPTZ)) AS depart_us, duration_min,
+    CAST(CAST(price_ngn AS DECIMAL(12, 2)) AS DOUBLE) AS price_ngn, seats_left, booking_url,
+    epoch_us(CAST(fetched_at AS TIMESTAMPTZ)) AS fetched_us
+  FROM ({_ALL_FEEDS})
+  QUALIFY row_number() OVER (PARTITION BY offer_id, fetched_at ORDER BY duration_min,
+    price_ngn, seats_left NULLS FIRST, booking_url) = 1""",
 )
 def stream_dedup(v):
-    """Every message delivered twice; the history holds each fact once."""
-    obs = v.observe(v.stream("events"))
-    offers = flows.union_feeds({"airpeace": v.encode(obs, "airpeace")})
+    """Every message of all feeds delivered twice; the history holds each fact once."""
     copies = F.explode(F.array(F.lit(1), F.lit(2)))
-    twice = offers.select("*", copies.alias("_copy")).drop("_copy")
+    twice = _stream_feeds(v).select("*", copies.alias("_copy")).drop("_copy")
     out, marks = new_path(v.spark, "history"), new_path(v.spark, "marks")
     flows.write_history(twice, out, marks, once=True).awaitTermination()
     stored = tables.read_history(v.spark, out)
@@ -149,16 +167,14 @@ def stream_dedup(v):
     "stream_latest",
     S.with_views(S.OBS)
     + f"""
-  SELECT offer_id, price_ngn, seats_left, {S.utc_text('fetched_at')} AS fetched_at
-  FROM obs WHERE carrier_key = 'ibomair' AND event_id % 41 <> 0
-  QUALIFY row_number() OVER (PARTITION BY offer_id ORDER BY date_trunc('second', fetched_at) DESC,
-    price_ngn DESC, seats_left DESC) = 1""",
+  SELECT offer_id, price_ngn, seats_left, fetched_at FROM ({_ALL_FEEDS})
+  QUALIFY row_number() OVER (PARTITION BY offer_id ORDER BY fetched_at DESC, duration_min DESC,
+    price_ngn DESC, seats_left DESC NULLS LAST, booking_url DESC) = 1""",
 )
 def stream_latest(v):
-    obs = v.observe(v.stream("events"))
-    offers = flows.union_feeds({"ibomair": v.encode(obs, "ibomair")})
+    """The latest offer of every departure of all feeds."""
     out, marks = new_path(v.spark, "latest"), new_path(v.spark, "marks")
-    flows.write_latest(offers, out, marks, once=True).awaitTermination()
+    flows.write_latest(_stream_feeds(v), out, marks, once=True).awaitTermination()
     return flows.read_latest(v.spark, out).select(
         "offer_id", "price_ngn", "seats_left", "fetched_at"
     )
@@ -450,15 +466,15 @@ def contract_check(v):
     "quarantine",
     S.with_views(S.OBS)
     + f"""
-  SELECT CASE WHEN {_UNKNOWN} THEN 'required:offer_id|required:origin|required:destination'
+  SELECT CASE WHEN mode = 'road' AND {_UNKNOWN}
+      THEN 'required:offer_id|required:origin|required:destination'
     ELSE 'already_departed' END AS reason, count(*) AS n
-  FROM obs WHERE carrier_key IN ('gigm', 'chisco') AND event_id % 41 <> 0
-    AND ({_UNKNOWN} OR {_DEPARTED}) GROUP BY 1""",
+  FROM obs WHERE event_id % 41 <> 0
+    AND (mode = 'road' AND {_UNKNOWN} OR {_DEPARTED}) GROUP BY 1""",
 )
 def quarantine(v):
-    """Normalised without a default place; the refused rows, by reason."""
-    feeds = {k: feed for k, feed in v.feeds().items() if k in ("gigm", "chisco")}
-    checked = contract.check_offers(normalise.unify(feeds, unknown_place=None))
+    """All feeds normalised without a default place; the refused rows, by reason."""
+    checked = contract.check_offers(normalise.unify(v.feeds(), unknown_place=None))
     _, bad = contract.split_valid(checked)
     return bad.groupBy(F.array_join("contract_errors", "|").alias("reason")).agg(
         F.count("*").alias("n")

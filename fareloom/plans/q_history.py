@@ -89,10 +89,11 @@ def lookups_of_a_hot_key(v):
     "recent_history",
     S.with_views(S.OBS)
     + f"""{_STORED_SQL} WHERE fetched_at >= {S.OBS_AT} - to_hours(48)
-    AND offer_id IN (SELECT offer_id FROM obs WHERE user_id % 3 = 0)""",
+    AND offer_id IN (SELECT offer_id FROM obs WHERE event_type = 'purchase')""",
 )
 def recent_history(v):
-    asked = v.obs.filter(F.col("user_id") % 3 == 0)
+    """What was seen in two days of the offers that were bought."""
+    asked = v.obs.filter("event_type = 'purchase'")
     return _stored(features.recent_history(v.history, asked, v.at(OBS_NOW)))
 
 

@@ -199,7 +199,7 @@ PREDICTIONS = f"""
 predictions AS (
   SELECT offer_id, fetched_at + to_seconds(420) AS predicted_at, {PROBABILITY} >= 0.5 AS will_rise,
     {PROBABILITY} AS probability, price_ngn AS price_at_prediction
-  FROM obs WHERE event_id % 3 = 0),
+  FROM obs),
 outcomes AS (
   SELECT p.*, o.price_ngn AS later_price, o.fetched_at AS scored_at
   FROM predictions p LEFT JOIN LATERAL (

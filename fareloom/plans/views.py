@@ -370,9 +370,9 @@ class Views:
 
     @cached_property
     def predictions(self) -> DataFrame:
-        """Every third observation as a prediction made seven minutes later."""
+        """Every observation as a prediction made seven minutes later."""
         p = probability()
-        return self.obs.filter(F.col("event_id") % 3 == 0).select(
+        return self.obs.select(
             "offer_id",
             _plus(F.col("fetched_at"), F.lit(420)).alias("predicted_at"),
             (p >= 0.5).alias("will_rise"),
