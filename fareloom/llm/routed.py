@@ -7,7 +7,8 @@ probable part and routes a query to as many of its most probable parts as the sa
 needs for its recall. There every vector is compared exactly, in double precision.
 
 Only the sample is bounded; every row is indexed. Parts are split into shards of a few
-thousand rows, to which a query is sent alike, so a hot part is no large task.
+thousand rows, to which a query is sent alike, and a part's queries into blocks of a few
+thousand, so a task holds one block and one shard however hot the part is.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ PARTS = 16
 HIDDEN = 64
 RECALL = 0.97  # of the held-out sample queries, aimed at when routing
 SHARD_ROWS = 4000
+BLOCK_QUERIES = 4000
 
 
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -243,25 +245,40 @@ def search(vectors: DataFrame, k: int = NEIGHBOURS, every: int = 20) -> DataFram
         good.mapInArrow(route, f"vec_id bigint, embedding {kind}, routes array<int>"), "routed"
     )
     part = F.col("routes")[0]
+    asked_of = routed.where(F.col("vec_id") % every == 0)
     sizes = routed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
-    # One row per part of the router, at most PARTS.
-    shards = F.broadcast(sizes.select("part", F.ceil(F.col("n") / SHARD_ROWS).alias("shards")))
+    asked_of_part = asked_of.select(F.explode("routes").alias("part")).groupBy("part")
+    loads = asked_of_part.agg(F.count(F.lit(1)).alias("q"))
+    # One row per part of the router, at most PARTS. A part without rows answers nothing.
+    cuts = F.broadcast(
+        stored(
+            sizes.join(loads, "part").select(
+                "part",
+                F.ceil(F.col("n") / SHARD_ROWS).alias("shards"),
+                F.ceil(F.col("q") / BLOCK_QUERIES).alias("blocks"),
+            ),
+            "cuts",
+        )
+    )
+
+    def numbers(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
+
     members = (
         routed.select("vec_id", "embedding", part.alias("part"))
-        .join(shards, "part")
+        .join(cuts, "part")
         .withColumn("shard", F.pmod(F.xxhash64("vec_id"), "shards"))
-        .drop("shards")
+        .select("vec_id", "embedding", "part", "shard", numbers("blocks").alias("block"))
     )
-    each = F.sequence(F.lit(0).cast("bigint"), F.col("shards") - 1)
     queries = (
-        routed.where(F.col("vec_id") % every == 0)
-        .select(
+        asked_of.select(
             F.col("vec_id").alias("query_id"),
             F.col("embedding").alias("query"),
             F.explode("routes").alias("part"),
         )
-        .join(shards, "part")
-        .select("query_id", "query", "part", F.explode(each).alias("shard"))
+        .join(cuts, "part")
+        .withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks"))
+        .select("query_id", "query", "part", numbers("shards").alias("shard"), "block")
     )
 
     def compare(asked: pa.Table, own: pa.Table) -> pa.Table:
@@ -293,8 +310,8 @@ def search(vectors: DataFrame, k: int = NEIGHBOURS, every: int = 20) -> DataFram
         )
 
     found = (
-        queries.groupBy("part", "shard")
-        .cogroup(members.groupBy("part", "shard"))
+        queries.groupBy("part", "shard", "block")
+        .cogroup(members.groupBy("part", "shard", "block"))
         .applyInArrow(compare, "query_id bigint, vec_id bigint, score double")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
