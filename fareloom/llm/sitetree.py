@@ -4,10 +4,15 @@ The pages of a host are merged: elements with the same path of tags and classes
 node of the host's tree. A node's presentation importance is the entropy of the child
 sequences seen under it, its content importance one minus the mean entropy of the texts
 below it over the pages (a text on every page is worth nothing, a text of one page is
-worth one). Branches of low importance are noise and go from every page. Elements that
-say what they are (menus, footers, forms, adverts, comments) have no importance at all,
-and where a page has an article, what stands outside it has none either; headings and
-paragraphs of an article are its content and stay.
+worth one). Branches of low importance are noise and go from every page, inside an article
+too. So does a single text that is nearly everywhere, though the other texts of its path
+are not. Elements that say what they are (menus, footers, forms, adverts, comments) have no
+importance at all, and where a page has an article, what stands outside it has none either.
+
+Copies of a page are not a layout. A page counts by a sketch of its longest text, a text by
+the sketch of the longest other text of its page, and the entropies are those of the
+sketches: a text between ever different others has a high one, a paragraph of near copies
+has not, as most copies have one sketch. Equal bodies count once.
 
 Importance comes from counts by (host, path, text), summed before the shuffle, so a host
 with a third of all pages is no special case. A page meets its host's list of noise in a
@@ -17,6 +22,7 @@ join that AQE may split.
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -32,6 +38,8 @@ from fareloom.llm.linkgraph import host_of
 THRESHOLD = 0.25  # importance below which a branch is noise
 CONTENT_SHARE = 0.9  # of content in a node's importance; the rest is presentation
 MIN_PAGES = 4  # pages a branch must be seen on before it can be called noise
+LEAST_SPREAD = math.log(MIN_PAGES) - 1e-9  # the entropy of as many unlike pages
+SHORT_PAIRS = 16  # word pairs below which a text is its own sketch
 PART_BYTES = 1 << 20
 
 # Elements of HTML by their part in a page.
@@ -220,8 +228,27 @@ def candidates(page: Page) -> list[tuple[str, str, bool, bool]]:
     return inside or page.blocks
 
 
+def sketch(text: str) -> int:
+    """The least hash of the text's word pairs, equal for most near copies of a text."""
+    parts = text.split()
+    if len(text) > 20 * len(parts):  # no spaces between words
+        parts = list(text)
+    pairs = [f"{a} {b}" for a, b in zip(parts, parts[1:])]
+    if len(pairs) < SHORT_PAIRS:  # a few words in common do not make short texts copies
+        pairs = [text]
+    least = min(map(xxhash.xxh64_intdigest, (x.encode("utf-8", "replace") for x in pairs)))
+    return least - (1 << 63)
+
+
+def contexts(texts: list[str]) -> tuple[int, dict[str, int]]:
+    """The page's sketch, and for each text the sketch of the longest other one."""
+    ranked = sorted(set(texts), key=lambda t: (-len(t), t))[:2]
+    longest, second = (*map(sketch, ranked), 0, 0)[:2]
+    return longest, {t: second if t == ranked[0] else longest for t in texts}
+
+
 def extract(source: str | None, noise: set[int]) -> str:
-    """The page's text without the branches whose path is in ``noise``."""
+    """The page's text without the branches and texts that are in ``noise``."""
     if not source:
         return ""
     known: dict[str, bool] = {}
@@ -235,8 +262,8 @@ def extract(source: str | None, noise: set[int]) -> str:
 
     return "\n\n".join(
         text
-        for path, text, article, textual in candidates(parse(source))
-        if (article and textual) or not noise or not gone(path)
+        for path, text, _, _ in candidates(parse(source))
+        if not noise or not (gone(path) or _key(path, text) in noise)
     )
 
 
@@ -247,89 +274,117 @@ def _ancestors(path: str) -> Iterator[str]:
 
 
 def noise_of(pages: DataFrame) -> DataFrame:
-    """(host, noise): the branches of low importance of every host's tree, as path keys.
+    """(host, noise): what is of low importance in every host's tree, as keys of paths
+    and of paths with a text.
 
     Pages of one host with the same body count once, or copies would look like a layout.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "html", PART_BYTES):
-            host, page, path, kind, value, kept = [], [], [], [], [], []
+            host, page, sketched, path, kind, value = [], [], [], [], [], []
             for h, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
                 if not source or not h:
                     continue
                 parsed = parse(source)
                 blocks = candidates(parsed)
                 body = _key(*[t for _, t, _, _ in blocks])
-                rows = {(p, 0, _key(s), False) for p, s in parsed.styles}
-                rows |= {(p, 1, _key(t), a and x) for p, t, a, x in blocks}
-                for p, k, v, stays in rows:
+                own, others = contexts([t for _, t, _, _ in blocks])
+                rows = {(p, 0, _key(s), own) for p, s in parsed.styles}
+                rows |= {(p, 1, _key(p, t), others[t]) for p, t, _, _ in blocks}
+                rows |= {(p, 2, 0, own) for p, _ in [*parsed.styles, ("", "")]}
+                for p, k, v, c in rows:
                     host.append(h)
                     page.append(body)
+                    sketched.append(c)
                     path.append(p)
                     kind.append(k)
                     value.append(v)
-                    kept.append(stays)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(host, pa.string()),
                     pa.array(page, pa.int64()),
+                    pa.array(sketched, pa.int64()),
                     pa.array(path, pa.string()),
                     pa.array(kind, pa.int8()),
                     pa.array(value, pa.int64()),
-                    pa.array(kept, pa.bool_()),
                 ],
-                names=["host", "page", "path", "kind", "value", "kept"],
+                names=["host", "page", "sketch", "path", "kind", "value"],
             )
 
     rows = pages.select("host", "html").mapInArrow(
-        run, "host string, page bigint, path string, kind tinyint, value bigint, kept boolean"
+        run, "host string, page bigint, sketch bigint, path string, kind tinyint, value bigint"
     )
-    # Pages of each text or child sequence of a node, each distinct page once.
-    counted = (
+    # Pages of each text or child sequence of a node and of the node itself, each distinct
+    # page once, and the entropy of their sketches, which follow from the body.
+    counted = stored(
         rows.groupBy("host", "path", "kind", "value", "page")
-        .agg(F.bool_or("kept").alias("kept"))
+        .agg(F.min("sketch").alias("sketch"))
+        .groupBy("host", "path", "kind", "value", "sketch")
+        .agg(F.count(F.lit(1)).alias("c"))
         .groupBy("host", "path", "kind", "value")
-        .agg(F.count(F.lit(1)).alias("n"), F.bool_or("kept").alias("kept"))
-    )
+        .agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("c_log"))
+        .select(
+            "host", "path", "kind", "value", "n",
+            F.greatest(F.log("n") - F.col("c_log") / F.col("n"), F.lit(0.0)).alias("spread"),
+        ),
+        "counted",
+    )
     sums = stored(
         counted.groupBy("host", "path").agg(
-            F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),
+            F.max(F.when(F.col("kind") == 2, F.col("spread"))).alias("page_spread"),
+            F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("styles"),
             F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("style_log"),
             F.sum(F.when(F.col("kind") == 1, F.lit(1))).alias("texts"),
-            F.sum(F.when(F.col("kind") == 1, F.log("n"))).alias("text_log"),
-            F.coalesce(F.bool_or("kept"), F.lit(False)).alias("kept"),
+            F.sum(F.when(F.col("kind") == 1, F.col("spread"))).alias("text_spread"),
+            F.max(F.when(F.col("kind") == 1, F.col("spread"))).alias("widest"),
         ),
         "tree",
     )
-    # Every node's texts are those of the elements below it as well.
+    # Every node's texts are those of the elements below it as well; the path of the root is "".
     above = F.expr(
-        "transform(filter(sequence(1, size(split(path, '>')) - 1), i -> true), "
+        "transform(sequence(0, size(split(path, '>')) - 1), "
         "i -> array_join(slice(split(path, '>'), 1, i + 1), '>'))"
     )
     below = (
         sums.where("texts > 0")
-        .select("host", F.explode(above).alias("path"), "texts", "text_log", "kept")
+        .select("host", F.explode(above).alias("path"), "texts", "text_spread", "widest")
         .groupBy("host", "path")
         .agg(
             F.sum("texts").alias("texts"),
-            F.sum("text_log").alias("text_log"),
-            F.bool_or("kept").alias("kept"),
+            F.sum("text_spread").alias("text_spread"),
+            F.max("widest").alias("widest"),
         )
     )
-    m = F.log("pages")
-    styles = sums.where(F.col("pages") >= MIN_PAGES).select("host", "path", "pages", "style_log")
-    # Entropies with base m lie between 0 and 1.
-    presentation = (m - F.col("style_log") / F.col("pages")) / m
-    content = 1 - F.col("text_log") / F.col("texts") / m
-    weighed = styles.join(below, ["host", "path"]).withColumn(
-        "importance", CONTENT_SHARE * content + (1 - CONTENT_SHARE) * presentation
+    # Entropies over that of the pages lie between 0 and 1.
+    weighed = stored(
+        sums.where("page_spread is not null")
+        .select("host", "path", "page_spread", "styles", "style_log")
+        .join(below, ["host", "path"])
+        .withColumn("most", F.greatest("page_spread", "widest"))
+        .where(F.col("most") >= LEAST_SPREAD),
+        "weighed",
     )
+    m = F.log("styles")
+    presentation = (m - F.col("style_log") / F.col("styles")) / m
+    content = 1 - F.col("text_spread") / F.col("texts") / F.col("most")
+    importance = CONTENT_SHARE * content + (1 - CONTENT_SHARE) * presentation
     key = F.udf(_key, "bigint")
+    branches = weighed.where((F.col("path") != "") & (importance < THRESHOLD)).select(
+        "host", key("path").alias("key")
+    )
+    # A text has no children: its content alone decides, against all pages of the host.
+    texts = (
+        counted.where((F.col("kind") == 1) & (F.col("spread") >= (1 - THRESHOLD) * LEAST_SPREAD))
+        .select("host", "value", "spread")
+        .join(weighed.where("path = ''").select("host", "most"), "host")
+        .where(1 - F.col("spread") / F.col("most") < THRESHOLD)
+        .select("host", F.col("value").alias("key"))
+    )
     return (
-        weighed.where((F.col("importance") < THRESHOLD) & ~F.col("kept"))
+        branches.unionAll(texts)
         .groupBy("host")
-        .agg(F.collect_list(key("path")).alias("noise"))  # nodes of one site's layout
+        .agg(F.collect_list("key").alias("noise"))  # one site's layout
     )
 
 

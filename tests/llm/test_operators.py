@@ -331,6 +331,33 @@ def test_a_layout_is_noise(spark):
     assert found == {i: f"Own text {i}" for i in range(12)}
 
 
+def _main_texts(spark, pages):
+    rows = [(i, f"http://h.net/{i}", page) for i, page in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in sitetree.main_text(frame).collect()}
+
+
+def _prose(i, n=60):
+    return " ".join(f"w{i * 7919 % 104729}x{j}" for j in range(n))
+
+
+def test_a_notice_inside_every_article_goes(spark):
+    page = "<article><h1>Title {0}</h1><p>{1}</p><p>Sign up for our letter</p><p>{2}</p></article>"
+    pages = [page.format(i, _prose(i), _prose(i + 500, 20)) for i in range(12)]
+    assert _main_texts(spark, pages) == {
+        i: f"Title {i}\n\n{_prose(i)}\n\n{_prose(i + 500, 20)}" for i in range(12)
+    }
+
+
+def test_near_copies_are_no_layout(spark):
+    """The copies' title and second paragraph are the same on 30 pages, yet no layout."""
+    text = _prose(1, 200).split()
+    first = [" ".join([*text[: 6 * i], f"edit{i}", *text[6 * i + 1 :]]) for i in range(30)]
+    page = "<article><h1>The title</h1><p>{0}</p><p>Second part of it</p></article>"
+    own = {i: f"The title\n\n{t}\n\nSecond part of it" for i, t in enumerate(first)}
+    assert _main_texts(spark, [page.format(t) for t in first]) == own
+
+
 def _nearest(rows, k=20):
     ids = np.array([r[0] for r in rows])
     x = np.array([r[1] for r in rows], np.float64)
