@@ -7,7 +7,7 @@ below it over the pages (a text on every page is worth nothing, a text of one pa
 worth one). Branches of low importance are noise and go from every page, inside an article
 too. So does a single text that is nearly everywhere, though the other texts of its path
 are not. Elements that say what they are (menus, footers, forms, adverts, comments) have no
-importance at all, and where a page has an article, what stands outside it has none either.
+importance at all; nothing else goes, so what stands outside an article is judged as well.
 
 Copies of a page are not a layout. A page counts by a sketch of its longest text, a text by
 the sketch of the longest other text of its page, and the entropies are those of the
@@ -56,7 +56,6 @@ BLOCK = frozenset(
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main "
     "menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p li dd dt blockquote pre td th figcaption caption".split())
 ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
     "toolbar form".split()
@@ -100,7 +99,6 @@ class Node:
     path: str
     noise: bool
     article: bool
-    textual: bool
     children: list[str] = field(default_factory=list)
 
 
@@ -128,13 +126,13 @@ def _marks(attributes: str) -> tuple[str, bool]:
 class Page:
     """Blocks of text, each with the path of its element, and the child tags by path."""
 
-    blocks: list[tuple[str, str, bool, bool]]  # path, text, in an article, textual
+    blocks: list[tuple[str, str]]  # path, text
     styles: list[tuple[str, str]]
 
 
 def parse(source: str) -> Page:
     """The page without what says it is noise. Unclosed and stray tags are taken as they come."""
-    root = Node("", "", False, False, False)
+    root = Node("", "", False, False)
     stack, blocks, styles = [root], [], []
     text: list[str] = []
 
@@ -144,7 +142,7 @@ def parse(source: str) -> Page:
             text.clear()
             if whole:
                 node = next((n for n in reversed(stack) if n.tag in BLOCK), root)
-                blocks.append((node.path, whole, node.article, node.textual))
+                blocks.append((node.path, whole))
 
     def close(depth: int) -> None:
         while len(stack) > depth:
@@ -201,7 +199,6 @@ def parse(source: str) -> Page:
         path = f"{parent.path}>{tag}{style}" if tag in BLOCK else parent.path
         if tag in BLOCK and (not parent.children or parent.children[-1] != tag):
             parent.children.append(tag)
-        textual = tag in TEXTUAL or (parent.textual and tag not in BLOCK)
         if noise and not parent.noise and tag in BLOCK:
             flush()
         if tag in RAW:  # up to its end tag, whatever stands in it
@@ -212,7 +209,7 @@ def parse(source: str) -> Page:
             continue
         if attributes.endswith("/") and tag in ("svg", "path"):
             continue
-        stack.append(Node(tag, path, noise, article, textual))
+        stack.append(Node(tag, path, noise, article))
     flush()
     close(1)
     return Page(blocks, styles)
@@ -222,12 +219,6 @@ def _key(*parts: str) -> int:
     return int.from_bytes(xxhash.xxh64_digest("\x00".join(parts).encode("utf-8", "replace")), "big", signed=True)
 
 
-def candidates(page: Page) -> list[tuple[str, str, bool, bool]]:
-    """The article's blocks if there is one with text, else all."""
-    inside = [b for b in page.blocks if b[2]]
-    return inside or page.blocks
-
-
 def sketch(text: str) -> int:
     """The least hash of the text's word pairs, equal for most near copies of a text."""
     parts = text.split()
@@ -262,7 +253,7 @@ def extract(source: str | None, noise: set[int]) -> str:
 
     return "\n\n".join(
         text
-        for path, text, _, _ in candidates(parse(source))
+        for path, text in parse(source).blocks
         if not noise or not (gone(path) or _key(path, text) in noise)
     )
 
@@ -287,11 +278,11 @@ def noise_of(pages: DataFrame) -> DataFrame:
                 if not source or not h:
                     continue
                 parsed = parse(source)
-                blocks = candidates(parsed)
-                body = _key(*[t for _, t, _, _ in blocks])
-                own, others = contexts([t for _, t, _, _ in blocks])
+                blocks = parsed.blocks
+                body = _key(*[t for _, t in blocks])
+                own, others = contexts([t for _, t in blocks])
                 rows = {(p, 0, _key(s), own) for p, s in parsed.styles}
-                rows |= {(p, 1, _key(p, t), others[t]) for p, t, _, _ in blocks}
+                rows |= {(p, 1, _key(p, t), others[t]) for p, t in blocks}
                 rows |= {(p, 2, 0, own) for p, _ in [*parsed.styles, ("", "")]}
                 for p, k, v, c in rows:
                     host.append(h)

@@ -358,6 +358,13 @@ def test_near_copies_are_no_layout(spark):
     assert _main_texts(spark, [page.format(t) for t in first]) == own
 
 
+def test_text_outside_an_article_stays(spark):
+    page = "<div id=content><p>{0}</p></div><article class=card><p>Teaser {1}</p></article>"
+    page += "<div class=end><p>The same everywhere</p></div>"
+    found = _main_texts(spark, [page.format(_prose(i), i) for i in range(12)])
+    assert found == {i: f"{_prose(i)}\n\nTeaser {i}" for i in range(12)}
+
+
 def _nearest(rows, k=20):
     ids = np.array([r[0] for r in rows])
     x = np.array([r[1] for r in rows], np.float64)
