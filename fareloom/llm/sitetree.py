@@ -36,6 +36,7 @@ from fareloom.llm.common import pieces, prepare, stored
 from fareloom.llm.linkgraph import host_of
 
 THRESHOLD = 0.25  # importance below which a branch is noise
+WEAK_WEIGHT = 0.5  # of the importance of what has a weak name: kept if its texts are its own
 CONTENT_SHARE = 0.9  # of content in a node's importance; the rest is presentation
 MIN_PAGES = 4  # pages a branch must be seen on before it can be called noise
 LEAST_SPREAD = math.log(MIN_PAGES) - 1e-9  # the entropy of as many unlike pages
@@ -61,12 +62,19 @@ ROLES = frozenset(
     "toolbar form".split()
 )
 NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment "
-    "comments commentlist consent cookie cookies copyright disqus footer gdpr login masthead menu "
-    "modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo "
-    "promotion recommended related replies reply respond share sharing sidebar signup skip social "
-    "sponsor sponsored subscribe subscription toolbar widget widgets".split()
+    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs consent "
+    "cookie cookies copyright footer gdpr login masthead menu modal nav navbar navigation "
+    "newsletter overlay pager pagination popup promo promotion recommended signup sponsor "
+    "sponsored subscribe subscription toolbar widget widgets".split()
 )
+# Noise also beside the names of content, unless the name tells a state ("has-sidebar").
+ALWAYS = frozenset(
+    "comment comments commentlist disqus replies reply respond sidebar sidebars".split()
+)
+CONTENT = frozenset("article post entry content".split())
+STATES = frozenset("has with no without open closed".split())
+# Names that lessen a node's importance, whatever stands beside them.
+WEAK = frozenset("share sharing social related notice notices skip".split())
 HEADER_NAMES = frozenset(["header", "topbar", "site-header"])
 # A start tag that ends an open element of these kinds.
 CLOSES = {
@@ -99,14 +107,16 @@ class Node:
     path: str
     noise: bool
     article: bool
+    weak: bool
     children: list[str] = field(default_factory=list)
 
 
-def _marks(attributes: str) -> tuple[str, bool]:
-    """The style name of an element (its classes and id) and whether it says it is noise."""
+def _marks(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """The style name of an element (its classes and id), whether it says it is noise, and
+    whether it has a weak name. The names of a whole page tell nothing of its text."""
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return "", False
-    names, noise = [], False
+        return "", False, False
+    names, noise, weak = [], False, False
     for key, value in _MARK.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "role":
@@ -116,23 +126,27 @@ def _marks(attributes: str) -> tuple[str, bool]:
             noise |= key == "hidden" or value.lower() == "true"
         else:
             names.append(("." if key == "class" else "#") + re.sub(r"\d+", "0", value))
-            told = {x.lower() for x in _NAME.findall(value)}
-            noise |= bool(told & NAMES) and not told & {"article", "post", "entry", "content"}
+            told = [{x.lower() for x in _NAME.findall(name)} for name in value.split()]
+            every = set().union(*told)
+            noise |= bool(every & NAMES) and not every & CONTENT
             noise |= value.lower() in HEADER_NAMES
-    return "".join(names), noise
+            if tag not in ("html", "body"):
+                noise |= any(x & ALWAYS and not x & STATES for x in told)
+                weak |= bool(every & WEAK)
+    return "".join(names), noise, weak
 
 
 @dataclass
 class Page:
     """Blocks of text, each with the path of its element, and the child tags by path."""
 
-    blocks: list[tuple[str, str]]  # path, text
-    styles: list[tuple[str, str]]
+    blocks: list[tuple[str, str, bool]]  # path, text, under a weak name
+    styles: list[tuple[str, str, bool]]  # path, child tags, under a weak name
 
 
 def parse(source: str) -> Page:
     """The page without what says it is noise. Unclosed and stray tags are taken as they come."""
-    root = Node("", "", False, False)
+    root = Node("", "", False, False, False)
     stack, blocks, styles = [root], [], []
     text: list[str] = []
 
@@ -142,13 +156,13 @@ def parse(source: str) -> Page:
             text.clear()
             if whole:
                 node = next((n for n in reversed(stack) if n.tag in BLOCK), root)
-                blocks.append((node.path, whole))
+                blocks.append((node.path, whole, node.weak))
 
     def close(depth: int) -> None:
         while len(stack) > depth:
             node = stack.pop()
             if node.tag in BLOCK and not node.noise:
-                styles.append((node.path, " ".join(node.children)))
+                styles.append((node.path, " ".join(node.children), node.weak))
 
     at, size = 0, len(source)
     while at < size:
@@ -193,7 +207,7 @@ def parse(source: str) -> Page:
         if tag in VOID:
             continue
         parent = stack[-1]
-        style, says = _marks(attributes)
+        style, says, weak = _marks(tag, attributes)
         article = parent.article or tag in ("article", "main") or "@main" in style
         noise = parent.noise or says or tag in NOISE or (tag == "header" and not parent.article)
         path = f"{parent.path}>{tag}{style}" if tag in BLOCK else parent.path
@@ -209,7 +223,7 @@ def parse(source: str) -> Page:
             continue
         if attributes.endswith("/") and tag in ("svg", "path"):
             continue
-        stack.append(Node(tag, path, noise, article))
+        stack.append(Node(tag, path, noise, article, parent.weak or weak and tag in BLOCK))
     flush()
     close(1)
     return Page(blocks, styles)
@@ -253,7 +267,7 @@ def extract(source: str | None, noise: set[int]) -> str:
 
     return "\n\n".join(
         text
-        for path, text in parse(source).blocks
+        for path, text, _ in parse(source).blocks
         if not noise or not (gone(path) or _key(path, text) in noise)
     )
 
@@ -279,11 +293,11 @@ def noise_of(pages: DataFrame) -> DataFrame:
                     continue
                 parsed = parse(source)
                 blocks = parsed.blocks
-                body = _key(*[t for _, t in blocks])
-                own, others = contexts([t for _, t in blocks])
-                rows = {(p, 0, _key(s), own) for p, s in parsed.styles}
-                rows |= {(p, 1, _key(p, t), others[t]) for p, t in blocks}
-                rows |= {(p, 2, 0, own) for p, _ in [*parsed.styles, ("", "")]}
+                body = _key(*[t for _, t, _ in blocks])
+                own, others = contexts([t for _, t, _ in blocks])
+                rows = {(p, 0, _key(s), own) for p, s, _ in parsed.styles}
+                rows |= {(p, 3 if w else 1, _key(p, t), others[t]) for p, t, w in blocks}
+                rows |= {(p, 2, int(w), own) for p, _, w in [*parsed.styles, ("", "", False)]}
                 for p, k, v, c in rows:
                     host.append(h)
                     page.append(body)
@@ -306,8 +320,9 @@ def noise_of(pages: DataFrame) -> DataFrame:
     rows = pages.select("host", "html").mapInArrow(
         run, "host string, page bigint, sketch bigint, path string, kind tinyint, value bigint"
     )
-    # Pages of each text or child sequence of a node and of the node itself, each distinct
-    # page once, and the entropy of their sketches, which follow from the body.
+    # Pages of each text (3: under a weak name) or child sequence of a node and of the node
+    # itself, each distinct page once, and the entropy of their sketches, which follow from
+    # the body.
     counted = stored(
         rows.groupBy("host", "path", "kind", "value", "page")
         .agg(F.min("sketch").alias("sketch"))
@@ -321,14 +336,16 @@ def noise_of(pages: DataFrame) -> DataFrame:
         ),
         "counted",
     )
+    is_text = F.col("kind").isin(1, 3)
     sums = stored(
         counted.groupBy("host", "path").agg(
             F.max(F.when(F.col("kind") == 2, F.col("spread"))).alias("page_spread"),
+            F.max(F.when(F.col("kind") == 2, F.col("value"))).alias("weak"),
             F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("styles"),
             F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("style_log"),
-            F.sum(F.when(F.col("kind") == 1, F.lit(1))).alias("texts"),
-            F.sum(F.when(F.col("kind") == 1, F.col("spread"))).alias("text_spread"),
-            F.max(F.when(F.col("kind") == 1, F.col("spread"))).alias("widest"),
+            F.sum(F.when(is_text, F.lit(1))).alias("texts"),
+            F.sum(F.when(is_text, F.col("spread"))).alias("text_spread"),
+            F.max(F.when(is_text, F.col("spread"))).alias("widest"),
         ),
         "tree",
     )
@@ -350,7 +367,7 @@ def noise_of(pages: DataFrame) -> DataFrame:
     # Entropies over that of the pages lie between 0 and 1.
     weighed = stored(
         sums.where("page_spread is not null")
-        .select("host", "path", "page_spread", "styles", "style_log")
+        .select("host", "path", "page_spread", "styles", "style_log", "weak")
         .join(below, ["host", "path"])
         .withColumn("most", F.greatest("page_spread", "widest"))
         .where(F.col("most") >= LEAST_SPREAD),
@@ -360,16 +377,18 @@ def noise_of(pages: DataFrame) -> DataFrame:
     presentation = (m - F.col("style_log") / F.col("styles")) / m
     content = 1 - F.col("text_spread") / F.col("texts") / F.col("most")
     importance = CONTENT_SHARE * content + (1 - CONTENT_SHARE) * presentation
+    importance *= F.when(F.col("weak") == 1, WEAK_WEIGHT).otherwise(1.0)
     key = F.udf(_key, "bigint")
     branches = weighed.where((F.col("path") != "") & (importance < THRESHOLD)).select(
         "host", key("path").alias("key")
     )
     # A text has no children: its content alone decides, against all pages of the host.
+    weight = F.when(F.col("kind") == 3, WEAK_WEIGHT).otherwise(1.0)
     texts = (
-        counted.where((F.col("kind") == 1) & (F.col("spread") >= (1 - THRESHOLD) * LEAST_SPREAD))
-        .select("host", "value", "spread")
+        counted.where(is_text & (F.col("spread") >= (1 - THRESHOLD / weight) * LEAST_SPREAD))
+        .select("host", "value", "spread", weight.alias("weight"))
         .join(weighed.where("path = ''").select("host", "most"), "host")
-        .where(1 - F.col("spread") / F.col("most") < THRESHOLD)
+        .where((1 - F.col("spread") / F.col("most")) * F.col("weight") < THRESHOLD)
         .select("host", F.col("value").alias("key"))
     )
     return (

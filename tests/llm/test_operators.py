@@ -365,6 +365,27 @@ def test_text_outside_an_article_stays(spark):
     assert found == {i: f"{_prose(i)}\n\nTeaser {i}" for i in range(12)}
 
 
+def test_names_of_noise_and_of_content(spark):
+    page = (
+        "<body class='single-post has-sidebar'><div class='post-comments'><p>Reader {0}</p></div>"
+        "<div id='content-sidebar'>Aside {0}</div><section class='social-history'><p>{1}</p>"
+        "</section><article class='post comments-open'><p class='share-price'>Price {0}</p>"
+        "<div class='entry-share'>Share it</div><div class='post-ad'>Own {0}</div></article></body>"
+    )
+    found = _main_texts(spark, [page.format(i, _prose(i)) for i in range(12)])
+    assert found == {i: f"{_prose(i)}\n\nPrice {i}\n\nOwn {i}" for i in range(12)}
+
+
+def test_a_weak_name_lessens_importance(spark):
+    """A text on half of the pages is noise under a weak name only."""
+    page = "<div class='{0}'><p>{1}</p></div><p>{2}</p>"
+    for name, said in (("related", ""), ("remark", "Said on half\n\n")):
+        texts = ["Said on half" if i < 6 else f"Said on {i}" for i in range(12)]
+        pages = [page.format(name, t, _prose(i)) for i, t in enumerate(texts)]
+        wanted = {i: (said if i < 6 else f"Said on {i}\n\n") + _prose(i) for i in range(12)}
+        assert _main_texts(spark, pages) == wanted
+
+
 def _nearest(rows, k=20):
     ids = np.array([r[0] for r in rows])
     x = np.array([r[1] for r in rows], np.float64)
