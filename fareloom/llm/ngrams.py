@@ -26,7 +26,7 @@ from fareloom.llm.hashing import words_of
 BITS = 15
 KINDS = ("word 1", "word 2", "byte 2", "byte 3", "byte 4")
 SCALE = 10.0
-LABELLED_ROWS = 3000  # the bound of the sample the classifier is fitted on
+LABELLED_ROWS = 6000  # the bound of the sample the classifier is fitted on
 THRESHOLD = 0.5
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
@@ -163,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Model
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "text", PART_BYTES):
             found = [features(words(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -189,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Model
     if min(x.select("label").distinct().count() for x in (train, rest)) < 2:
         return None
     learner = LogisticRegression(maxIter=40, regParam=2e-4, standardization=False)
-    fitted = learner.fit(train.repartition(6))
+    fitted = learner.fit(train.repartition(24))  # small parts: less memory in a task
     weights = fitted.coefficients.toArray()
     margin = F.udf(lambda x: float(x.dot(weights)), "double")
     one = F.udf(lambda m: Vectors.dense([m]), VectorUDT())

@@ -150,6 +150,11 @@ def test_base_rules_and_classifier(spark, docs, rows, odd):
     assert ngrams.fit(odd, labels.limit(0)) is None
 
 
+def test_all_labels_of_the_tables_are_learned_from(spark):
+    labels = ngrams.labels_of(spark, "/root/testdata/sf0.1")
+    assert labels.select("doc_id").distinct().count() <= ngrams.LABELLED_ROWS
+
+
 def test_margins_equal_the_sum_over_features():
     weights = np.random.default_rng(3).normal(size=(5, 1 << ngrams.BITS)).astype(np.float32)
     split = [common.words(t) for _, t in PAIRS]
