@@ -1,7 +1,7 @@
 """Quality rules: base rules on words and lines, then a hashed n-gram classifier.
 
-The classifier is a logistic regression over hashed word 1- and 2-grams and byte
-2-, 3- and 4-grams. A feature is the share of its bucket among the document's n-grams
+The classifier is a logistic regression over hashed word 1- and 2-grams and
+2-, 3- and 4-grams of characters (code points). A feature is the share of its bucket among the document's n-grams
 of that kind, so long and short texts are scored alike. It is fitted on labelled rows,
 calibrated on others by Platt's method, and applied in Arrow batches. A document stays
 if it passes the base rules and its calibrated probability reaches a fixed threshold.
@@ -24,7 +24,7 @@ from fareloom.llm.common import appended, pieces, prepare, stored, words
 from fareloom.llm.hashing import words_of
 
 BITS = 15
-KINDS = ("word 1", "word 2", "byte 2", "byte 3", "byte 4")
+KINDS = ("word 1", "word 2", "char 2", "char 3", "char 4")
 SCALE = 10.0
 LABELLED_ROWS = 6000  # the bound of the sample the classifier is fitted on
 THRESHOLD = 0.5
@@ -74,6 +74,18 @@ def base_fails(n_words, n_repeat_words):
     return (n_words < MIN_WORDS) | (100 * n_repeat_words > 50 * n_words)
 
 
+def characters(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for every UTF-8 character, made of its bytes, and where each begins."""
+    lead = np.flatnonzero((raw & 0xC0) != 0x80)
+    chars = raw[lead].astype(np.uint32)
+    if len(lead) < len(raw):
+        length = np.diff(lead, append=len(raw))
+        for k in (1, 2, 3):
+            longer = np.flatnonzero(length > k)
+            chars[longer] = (chars[longer] << np.uint32(8)) | raw[lead[longer] + k]
+    return chars, lead
+
+
 def buckets(split: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each kind of n-gram: the bucket of every n-gram, and each document's number.
 
@@ -86,16 +98,18 @@ def buckets(split: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]
     for size in (1, 2):
         at, h = found.windows(size)
         yield (h >> shift).astype(np.int64), np.bincount(of_word[at], minlength=n)
-    # Bytes with one space between words. No n-gram crosses a line break, which parts documents.
-    raw = found.buffer.astype(np.uint32)
+    # Characters with one space between words. No n-gram crosses a line break, which parts
+    # documents.
+    chars, lead = characters(found.buffer)
     first = np.zeros(n, np.int64)
     sizes = np.zeros(n, np.int64)
     full = found.counts > 0
-    first[full] = found.starts[found.first[full]]
-    sizes[full] = found.ends[(found.first + found.counts - 1)[full]] - first[full]
-    code = raw
+    first[full] = np.searchsorted(lead, found.starts[found.first[full]])
+    sizes[full] = np.searchsorted(lead, found.ends[(found.first + found.counts - 1)[full]])
+    sizes -= first
+    code = chars
     for size in (2, 3, 4):
-        code = (code[:-1] << np.uint32(8)) | raw[size - 1 :] if len(code) else code
+        code = code[:-1] * np.uint32(2246822519) + chars[size - 1 :] if len(code) else code
         h = (code * np.uint32(2654435761)) >> np.uint32(32 - BITS)
         counts = np.maximum(sizes - size + 1, 0)
         whole = counts.sum()
@@ -106,7 +120,7 @@ def buckets(split: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]
         for k in range(size):  # n-grams that hold the break after a document
             spot = (first + sizes - k)[full]
             spot = spot[(spot >= 0) & (spot < len(h))]
-            keep[spot[raw[spot + k] == 10] if k else spot] = False
+            keep[spot[chars[spot + k] == 10] if k else spot] = False
         yield h[keep], counts
 
 

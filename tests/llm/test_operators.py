@@ -163,6 +163,16 @@ def test_margins_equal_the_sum_over_features():
         assert total == pytest.approx(float(weights.ravel()[at] @ value), abs=1e-3)
 
 
+def test_grams_are_of_characters():
+    texts = ["дом на", "日本語", "aé", "plain", "", "😀b"]
+    found = list(ngrams.buckets([common.words(t) for t in texts]))[2:]
+    for size, (h, counts) in zip((2, 3, 4), found):
+        grams = [t[i : i + size] for t in texts for i in range(len(t) - size + 1)]
+        assert counts.tolist() == [max(len(t) - size + 1, 0) for t in texts]
+        assert len(h) == len(grams)
+        assert len(set(h.tolist())) == len(set(grams))
+
+
 def test_discriminant(spark, docs, rows, odd):
     labels = common.table(spark, FOLDER, "labels")
     found = discriminant.scored(docs, labels).collect()
