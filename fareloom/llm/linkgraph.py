@@ -18,8 +18,7 @@ from fareloom.llm.common import prepare, stored
 
 DAMPING = 0.85
 RATIO = 4.0
-TOLERANCE = 1e-6
-ROUNDS = 50
+TOLERANCE = 1e-6  # of a host's own rank
 ROUNDS_PER_WRITE = 5
 
 
@@ -91,7 +90,8 @@ def propagate(links: DataFrame, seeds: DataFrame) -> DataFrame:
 
     rank = (1 - d) seed + d (what came along the links); what a host without links holds
     leaves the graph. Ranks are written every few rounds, so lineage stays short; it ends
-    when a write moves less than the tolerance in all.
+    when between two writes no host moves by the tolerance of its own rank, so however small
+    the seeds, a host far along a chain is reached. The rounds grow with the longest way.
     """
     out = links.groupBy("src").agg(F.sum("weight").alias("total"))
     steps = stored(
@@ -100,7 +100,7 @@ def propagate(links: DataFrame, seeds: DataFrame) -> DataFrame:
     )
     own = F.col("seed") * (1 - DAMPING)
     ranks = seeds.select("host", own.alias("rank"))
-    for _ in range(0, ROUNDS, ROUNDS_PER_WRITE):
+    while True:
         now = ranks
         for _ in range(ROUNDS_PER_WRITE):
             came = (
@@ -112,7 +112,8 @@ def propagate(links: DataFrame, seeds: DataFrame) -> DataFrame:
                 "host", (own + DAMPING * F.coalesce("came", F.lit(0.0))).alias("rank")
             )
         before, ranks = ranks.withColumnRenamed("rank", "old"), stored(now, "ranks")
-        moved = ranks.join(before, "host").agg(F.sum(F.abs(F.col("rank") - F.col("old"))))
+        change = F.abs(F.col("rank") - F.col("old")) / F.col("rank")
+        moved = ranks.join(before, "host").agg(F.max(F.when(F.col("rank") > 0, change)))
         if (moved.first()[0] or 0.0) < TOLERANCE:
             break
     return ranks

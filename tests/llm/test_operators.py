@@ -324,6 +324,18 @@ def test_ranks_equal_plain_iteration(spark):
     assert {r.host: r.rank for r in found.collect()} == pytest.approx(rank, abs=1e-3)
 
 
+def test_small_seeds_reach_the_end_of_a_chain(spark):
+    hosts = [f"h{i}" for i in range(8)]
+    found = linkgraph.propagate(
+        spark.createDataFrame(
+            [(a, b, 1.0) for a, b in zip(hosts, hosts[1:])], "src string, dst string, weight double"
+        ),
+        spark.createDataFrame([(h, 1e-9 * (h == "h0")) for h in hosts], "host string, seed double"),
+    )
+    wanted = {h: 0.15 * 1e-9 * 0.85**i for i, h in enumerate(hosts)}
+    assert {r.host: r.rank for r in found.collect()} == pytest.approx(wanted, rel=1e-6, abs=0)
+
+
 def test_main_text(spark, pages):
     found = got(sitetree.main_text(pages), "page_id", "text", "n_chars")
     texts = ["A & B\n\nc d", "", "", "only text", "l", "T\n\nu", "T\n\nu", "<"]
