@@ -14,7 +14,10 @@ from fareloom.llm import (
     linkgraph,
     mixing,
     ngrams,
+    pivots,
+    private,
     repeats,
+    resample,
     routed,
     simhash,
     sitetree,
@@ -87,4 +90,19 @@ def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.search(table(spark, sf_dir, "embeddings"))
 
 
-SQL: dict[str, str] = {"op2_source_mixture": mixing.sql()}
+@query
+def op11_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.query(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_pivot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.clustered(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL: dict[str, str] = {"op2_source_mixture": mixing.sql(), "op12_pivot_clusters": pivots.sql()}
