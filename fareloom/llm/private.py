@@ -100,11 +100,11 @@ TRAITS = 6  # codes of length, in steps of 8 characters, as the labelers do not
 COMBINATIONS = len(KINDS) * 3 ** len(LABELERS) * TRAITS
 
 # What is believed of the votes (against, none, for) before any are seen, on real spans and
-# on others. Weighs as much as SHARE of a kind's candidates, so votes that only go together
-# do not turn a failed check sum into a card.
+# on others. Weighs as much as SHARE times a kind's candidates, LEAST at least. What check
+# sums and counts say is known beforehand: votes that only go together do not unlearn it.
 _REAL = [(2, 13, 85), (5, 15, 80), (5, 35, 60), (0.2, 9.8, 90), (1, 69, 30), (2, 97, 1), (10, 5, 85)]
-_OTHER = [(10, 40, 50), (40, 20, 40), (40, 35, 25), (85, 10, 5), (1, 98, 1), (1, 69, 30)[::-1], (40, 5, 55)]
-SHARE = 0.5
+_OTHER = [(10, 40, 50), (40, 20, 40), (40, 35, 25), (85, 10, 5), (1, 98, 1), (30, 69, 1), (40, 5, 55)]
+SHARE = np.array([0.1, 0.1, 0.1, 20.0, 0.1, 0.1, 0.1])
 LEAST = 50.0
 THRESHOLD = 0.5
 
@@ -164,13 +164,16 @@ def _judged(kind: str, loose: bool, m: Column) -> Column:
     said, digits = m["said"], _digits(m["said"])
     yes, no = F.lit(True), F.lit(False)
     if kind == "email":
-        good = yes
+        good = no if loose else yes
         end = F.lower(F.regexp_extract(said, r"([A-Za-z0-9-]+)$", 1))
         spelled = said.rlike(r"[\[({<]") | said.rlike(r"(?i)[ ]at[ ].*[ ]dot[ ]")
         form = spelled if loose else said.rlike(r"^[A-Za-z0-9][^@]*@[A-Za-z0-9]")
-        known, unknown = end.isin(DOMAINS), ~end.rlike("^[a-z]{2,}$")
-        number = said.rlike(r"^[A-Za-z]*[0-9._+-]") | (spelled if loose else yes)
-        failed = ~said.rlike("[A-Za-z]")
+        known = end.isin(DOMAINS)
+        unknown = ~known if loose else ~end.rlike("^[a-z]{2,}$")
+        # A word before "at" is no name of a mailbox unless it looks like one.
+        handle = said.rlike(r"^[A-Za-z]*[0-9._+-]")
+        number = (handle | said.rlike(r"[\[({<]")) if loose else yes
+        failed = ~(handle | spelled) if loose else ~said.rlike("[A-Za-z]")
     elif kind == "ip":
         good = no if loose else said.rlike(rf"^(?:{_PART}(?:\.|$)){{4}}$")
         form = yes if loose else ~said.rlike(r"(?:^|\.)0[0-9]")
@@ -348,10 +351,10 @@ def expectation_maximisation(votes: np.ndarray, n: np.ndarray, rounds: int = 200
     ``votes`` holds 0 (against), 1 (none) or 2 (for) per combination and labeler, ``n`` how
     often the combination occurs. Labelers are taken as independent given the truth.
     """
-    weight = max(LEAST, SHARE * n.sum())
     prior = np.array([_REAL, _OTHER], np.float64)
-    prior *= weight / prior.sum(axis=2, keepdims=True)
-    share, table = np.array([0.5, 0.5]), prior / prior.sum(axis=2, keepdims=True)
+    table = prior / prior.sum(axis=2, keepdims=True)
+    prior = table * np.maximum(LEAST, SHARE * n.sum())[None, :, None]
+    share = np.array([0.5, 0.5])
     labelers = np.arange(votes.shape[1])
     real = np.full(len(n), 0.5)
     for _ in range(rounds):
@@ -362,7 +365,7 @@ def expectation_maximisation(votes: np.ndarray, n: np.ndarray, rounds: int = 200
         if done:
             break
         of = np.stack([n * real, n * (1 - real)])
-        share = (of.sum(axis=1) + weight / 2) / (n.sum() + weight)
+        share = (of.sum(axis=1) + LEAST / 2) / (n.sum() + LEAST)
         table = prior.copy()
         for v in range(3):
             table[:, :, v] += of @ (votes == v)
