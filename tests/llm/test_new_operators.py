@@ -176,7 +176,8 @@ def test_reliabilities_and_the_classifier_follow_the_votes():
     # Without a label nearly as good as knowing how reliable each labeler is.
     assert (said == truth).mean() > best.mean() - 0.01
     others = [0, 1, 2, 4, 5, 6]
-    assert np.abs(table[0, others, 2] - right[others]).max() < 0.1
+    # What is believed beforehand weighs a tenth of the candidates, a quarter of real ones here.
+    assert np.abs(table[0, others, 2] - right[others]).max() < 0.15
     x = np.concatenate([distinct == v for v in range(3)], axis=1).astype(float)
     w = private.logistic(x, real, n.astype(float))
     fitted = 1 / (1 + np.exp(-(w[0] + x @ w[1:])))
