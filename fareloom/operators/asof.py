@@ -3,12 +3,14 @@
 Two forms. ``neighbours`` answers probes from one table against another.
 ``self_lookups`` answers several offsets of a table against itself.
 
-Neither emits pairs. Observations and probes are merged into one time line per
-key; a running ``last`` (or, read backwards, ``last`` again) carries the most
-recent observation to each probe. The time line is cut into spans, so one
-departure holding a large share of the rows is spread over many tasks, and the
-last observation of each span is carried into the following ones from a summary
-with one row per key and non-empty span.
+Neither emits pairs. Observations and probes become events of one time line per key; a
+running ``last`` (or, read backwards, ``last`` again) carries the most recent observation
+to each probe. A key's line is sorted in one task, after one shuffle that also brings the
+rows themselves, so the tables are read once. Keys too large for that, found by a count of
+the key column alone, take another way: their lines are cut into spans, so that one
+departure holding a large share of the rows is spread over many tasks, and the last
+observation of each span is carried into the following ones from a summary with one row
+per key and non-empty span.
 """
 
 from __future__ import annotations
@@ -22,8 +24,32 @@ from pyspark.sql import functions as F
 from fareloom.functions.times import HOUR
 
 SPAN = 6 * HOUR
-# Spans of a key are shortened until about this many of its rows fall into one.
+# A line of more rows is cut into spans, which are shortened until about so many fall into one.
 SPAN_ROWS = 200_000
+# Rows without a key or a time are dealt over so many groups; they are in nobody's line.
+SPREAD = 1024
+
+
+def _dense(keys: DataFrame, span_rows: int) -> DataFrame | None:
+    """The keys of more than ``span_rows`` rows, one row each; None if there are none."""
+    key = keys.columns[0]
+    counts = keys.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    dense = counts.filter(F.col("_n") > span_rows).select(key)
+    return dense if dense.take(1) else None
+
+
+def _carry(line: DataFrame, direction: str, group: Sequence[str]) -> Column:
+    """The last observation at or before each event, or the first at or after it.
+
+    Observations come before probes at the same moment, so equality matches.
+    """
+    turn = {"prev": F.asc, "next": F.desc}[direction]
+    inside = (
+        Window.partitionBy(*group)
+        .orderBy(turn("_at"), F.col("_seen").isNull(), turn("_seen"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return F.last("_seen", ignorenulls=True).over(inside)
 
 
 def neighbours(
@@ -43,6 +69,67 @@ def neighbours(
     and moment ``prev`` is the greatest and ``next`` the smallest. Probes with a null key
     or time find nothing and stay; such observations are never found.
     """
+    dense = _dense(
+        probes.select(F.col(key).alias("_key")).unionAll(observations.select(F.col(key).alias("_key"))),
+        span_rows,
+    )
+    if dense is None:
+        return _in_one_line(probes, observations, key, probe_us, observed_us, take, directions)
+
+    def parts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        same = rows[key] == dense["_key"]
+        return rows.join(dense, same, "left_anti"), rows.join(dense, same, "left_semi")
+
+    (few, many), (seen_few, seen_many) = parts(probes), parts(observations)
+    return _in_one_line(few, seen_few, key, probe_us, observed_us, take, directions).unionByName(
+        _in_spanned_lines(
+            many, seen_many, key, probe_us, observed_us, take, directions, span_rows
+        )
+    )
+
+
+def _in_one_line(
+    probes: DataFrame,
+    observations: DataFrame,
+    key: str,
+    probe_us: str,
+    observed_us: str,
+    take: Sequence[str],
+    directions: Sequence[str],
+) -> DataFrame:
+    seen = F.struct(F.col(observed_us).alias("at"), *take)
+    seen_type = observations.select(seen.alias("s")).schema["s"].dataType
+    lost = F.col(key).isNull() | F.col(probe_us).isNull()
+    asked = probes.select(
+        F.col(key).alias("_key"),
+        F.when(lost, F.pmod(F.xxhash64(*probes.columns), F.lit(SPREAD))).alias("_lost"),
+        F.col(probe_us).alias("_at"),
+        F.struct(*probes.columns).alias("_row"),
+        F.lit(None).cast(seen_type).alias("_seen"),
+    )
+    given = observations.filter(F.col(key).isNotNull() & F.col(observed_us).isNotNull()).select(
+        F.col(key).alias("_key"),
+        F.lit(None).cast("bigint").alias("_lost"),
+        F.col(observed_us).alias("_at"),
+        F.lit(None).cast(probes.schema.simpleString()).alias("_row"),
+        seen.alias("_seen"),
+    )
+    line = asked.unionByName(given)
+    found = line.withColumns({d: _carry(line, d, ["_key", "_lost"]) for d in directions})
+    return found.filter(F.col("_row").isNotNull()).select("_row.*", *directions)
+
+
+def _in_spanned_lines(
+    probes: DataFrame,
+    observations: DataFrame,
+    key: str,
+    probe_us: str,
+    observed_us: str,
+    take: Sequence[str],
+    directions: Sequence[str],
+    span_rows: int,
+) -> DataFrame:
+    """The same for keys whose lines are long. All keys are set; times may be null."""
     seen = F.struct(F.col(observed_us).alias("at"), *take)
     seen_type = observations.select(seen.alias("s")).schema["s"].dataType
     row_type = probes.schema.simpleString()
@@ -68,13 +155,7 @@ def neighbours(
     sort_at = {"prev": F.asc, "next": F.desc}
     out = line
     for d in directions:
-        # Observations come before probes at the same moment, so equality matches.
-        inside = (
-            Window.partitionBy(*group)
-            .orderBy(sort_at[d]("_at"), is_probe, sort_at[d]("_seen"))
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        out = out.withColumn(f"_in_{d}", F.last("_seen", ignorenulls=True).over(inside))
+        out = out.withColumn(f"_in_{d}", _carry(line, d, group))
         # One row per key and span that holds something.
         earlier = (
             Window.partitionBy("_key")
@@ -145,9 +226,74 @@ def self_lookups(
 ) -> DataFrame:
     """Add one column per lookup: another observation's ``value`` of the same key.
 
-    Every row comes back once, with nulls where its key or time is null. One thin probe
-    per moment and lookup goes through ``neighbours``, whatever the size of the key.
+    Every row comes back once, with nulls where its key or time is null. A row becomes one
+    event that brings all its columns and a thin probe per lookup. A given column may not
+    have a lookup's name.
     """
+    dense = _dense(df.select(F.col(key).alias("_key")), span_rows)
+    if dense is None:
+        return _lookups_in_one_line(df, key, at, value, lookups)
+    same = df[key] == dense["_key"]
+    few = _lookups_in_one_line(df.join(dense, same, "left_anti"), key, at, value, lookups)
+    many = df.join(dense, same, "left_semi")
+    return few.unionByName(_lookups_in_spans(many, key, at, value, lookups, span_rows))
+
+
+def _best(spec: Lookup, target: Column) -> Column:
+    """The lookup's own choice between ``prev`` and ``next``."""
+    if spec.direction == "nearest":
+        return nearest(F.col("prev"), F.col("next"), target, spec.tolerance_us)
+    return F.when(within(F.col("next"), target, spec.tolerance_us), F.col("next"))
+
+
+def _lookups_in_one_line(
+    df: DataFrame, key: str, at: str, value: str, lookups: Sequence[Lookup]
+) -> DataFrame:
+    own = F.unix_micros(at)
+    lost = F.col(key).isNull() | F.col(at).isNull()
+    seen = F.struct(own.alias("at"), F.col(value).alias("v"))
+    row_type = df.schema.simpleString()
+    seen_type = df.select(seen.alias("s")).schema["s"].dataType
+
+    def event(number: int, by: int, row: Column, seen_at: Column) -> Column:
+        return F.struct(
+            F.lit(number).alias("_i"), (own + F.lit(by)).alias("_at"),
+            row.alias("_row"), seen_at.alias("_seen"),
+        )
+
+    no_row, nothing = F.lit(None).cast(row_type), F.lit(None).cast(seen_type)
+    itself = event(-1, 0, F.struct(*df.columns), F.when(~lost, seen))
+    asked = [event(i, s.offset_us, no_row, nothing) for i, s in enumerate(lookups)]
+    line = df.select(
+        F.col(key).alias("_key"),
+        F.when(lost, F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))).alias("_lost"),
+        own.alias("_own"),
+        F.inline(F.when(lost, F.array(itself)).otherwise(F.array(itself, *asked))),
+    )
+    group = ["_key", "_lost"]
+    sides = ["next"] if all(s.direction == "forward" for s in lookups) else ["prev", "next"]
+    found = line.withColumns({d: _carry(line, d, group) for d in sides})
+    # Every event of one key and moment: its probes' answers, to the rows of that moment.
+    moment = Window.partitionBy(*group, "_own")
+    answers = {
+        s.name: F.max(F.when(F.col("_i") == i, _best(s, F.col("_at"))["v"])).over(moment)
+        for i, s in enumerate(lookups)
+    }
+    return (
+        found.withColumns(answers)
+        .filter(F.col("_i") == -1)
+        .select("_row.*", *[s.name for s in lookups])
+    )
+
+
+def _lookups_in_spans(
+    df: DataFrame,
+    key: str,
+    at: str,
+    value: str,
+    lookups: Sequence[Lookup],
+    span_rows: int,
+) -> DataFrame:
     us = F.unix_micros(at)
     offsets = F.array(
         *[F.struct(F.lit(i).alias("i"), F.lit(s.offset_us).cast("bigint").alias("by"))
@@ -157,16 +303,13 @@ def self_lookups(
         key, "_own", F.col("_o.i").alias("_i"), (F.col("_own") + F.col("_o.by")).alias("_target")
     ).filter(F.col(key).isNotNull() & F.col("_own").isNotNull())
     seen = df.select(F.col(key), us.alias("_us"), F.col(value).alias("v"))
-    found = neighbours(probes, seen, key, "_target", "_us", ["v"], span_rows=span_rows)
-    answers = []
-    for i, spec in enumerate(lookups):
-        if spec.direction == "nearest":
-            best = nearest(F.col("prev"), F.col("next"), F.col("_target"), spec.tolerance_us)
-        else:
-            best = F.when(
-                within(F.col("next"), F.col("_target"), spec.tolerance_us), F.col("next")
-            )
-        answers.append(F.max(F.when(F.col("_i") == i, best["v"])).alias(spec.name))
+    found = _in_spanned_lines(
+        probes, seen, key, "_target", "_us", ["v"], ["prev", "next"], span_rows
+    )
+    answers = [
+        F.max(F.when(F.col("_i") == i, _best(s, F.col("_target"))["v"])).alias(s.name)
+        for i, s in enumerate(lookups)
+    ]
     wide = found.groupBy(key, "_own").agg(*answers)
     return (
         df.withColumn("_own", us)

@@ -163,6 +163,50 @@ def test_lookups_equal_pandas(spark, span_rows):
         assert got == expected, name
 
 
+def test_one_scan_and_one_exchange_answer_the_lookups(spark, tmp_path):
+    path = str(tmp_path / "seen")
+    spark.createDataFrame(_random_history()).write.parquet(path)
+    df = spark.read.parquet(path)
+    for specs in (LOOKUPS, [features.FUTURE]):
+        found = asof.self_lookups(df, "offer_id", "fetched_at", "price_ngn", specs)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    probes = df.select("offer_id", F.col("fetched_at").alias("t"))
+    joined = asof.asof_join(
+        probes, df, "offer_id", "t", "fetched_at", "price_ngn", "p", "forward", 0, times.DAY
+    )
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Exchange") == 1
+
+
+def test_dense_and_usual_keys_meet(spark):
+    """One key beyond the limit goes by spans, the others in one line; rows without keys stay."""
+    frame = pd.concat([_random_history(900, 1), _random_history(200, 4, 9)[lambda f: f.offer_id != "o0"]])
+    df = spark.createDataFrame(frame)
+    lost = df.limit(3).withColumn("offer_id", F.lit(None).cast("string"))
+    found = asof.self_lookups(
+        df.unionByName(lost), "offer_id", "fetched_at", "price_ngn", LOOKUPS, 100
+    ).collect()
+    assert len(found) == len(frame) + 3
+    expected = _merge(frame, 12, "nearest")
+    got = {
+        (r["offer_id"], pd.Timestamp(r["fetched_at"])): r["_past_12h"] for r in found if r["offer_id"]
+    }
+    assert got == expected
+    assert {r["future_price"] for r in found if not r["offer_id"]} == {None}
+    probes = df.select("offer_id", F.col("fetched_at").alias("t"), "price_ngn")
+    sides = ("prev", "next")
+    us = lambda c: F.unix_micros(c)
+    near, far = (
+        asof.neighbours(
+            probes.withColumn("_p", us("t") + 7), df.withColumn("_o", us("fetched_at")), "offer_id",
+            "_p", "_o", ["price_ngn"], sides, limit,
+        ).collect()
+        for limit in (asof.SPAN_ROWS, 100)
+    )
+    assert sorted(near, key=repr) == sorted(far, key=repr) and len(near) == len(frame)
+
+
 def test_nulls_stay_and_ties_have_one_answer(spark):
     rows = [
         ("a", "2026-09-01 00:00:00", 1.0), ("a", "2026-09-02 00:00:00", 12.0),
@@ -390,6 +434,40 @@ def test_summaries_keep_the_null_group(spark, seen):
 # ----------------------------------------------------------------- training --
 
 
+def test_patience_passes_over_a_dip():
+    dip = [5.0, 4.0, 4.2, 4.1, 3.9, 3.95, 3.0, 3.1, 3.2, 3.3]
+    assert training.best_round(dip, 1) == (2, True)
+    assert training.best_round(dip, 3) == (7, True)
+    assert training.best_round(dip, 4) == (7, False)
+    # What follows a long pause is never reached, and of equal losses the first counts.
+    assert training.best_round([2.0, 3.0, 3.0, 3.0, 1.0], 3) == (1, True)
+    assert training.best_round([2.0, 1.0, 1.0], 50) == (2, False)
+
+
+def test_growing_in_stages_is_growing_at_once(spark):
+    rng = np.random.default_rng(5)
+    n = 1200
+    days, delta = rng.random(n) * 30, rng.normal(size=n) / 10
+    label = (days + 60 * delta + rng.normal(size=n) * 6 > 15).astype(int)
+    frame = pd.DataFrame({
+        "days_to_departure": days, "hour_of_day": rng.integers(0, 24, n),
+        "day_of_week": rng.integers(0, 7, n), "seats_left": rng.integers(0, 40, n),
+        "price_delta_6h": delta, "price_delta_12h": rng.normal(size=n),
+        "price_delta_24h": rng.normal(size=n), "carrier": rng.choice(["a", "b"], n),
+        "route": rng.choice(["x", "y"], n), "will_rise": label,
+    })
+    rows = spark.createDataFrame(frame).repartition(2).persist()
+    learnt, held_out = rows.filter("hour_of_day < 18"), rows.filter("hour_of_day >= 18")
+    params = {"maxDepth": 3, "stepSize": 0.3, "minInstancesPerNode": 5}
+    staged = training.grow(learnt, held_out, params, 24, 6, stage=3)
+    at_once = training.grow(learnt, held_out, params, 24, 6, stage=24)
+    assert (staged.rounds, staged.grown) == (at_once.rounds, at_once.grown)
+    assert staged.loss == pytest.approx(at_once.loss) and staged.auc == pytest.approx(at_once.auc)
+    assert staged.model.stages[-1].getNumTrees == staged.rounds <= staged.grown <= 24
+    assert staged.auc > training.TARGET_AUC
+    rows.unpersist()
+
+
 def test_training_learns_and_scores(spark, seen, now):
     frame = _random_history(1500, 3)
     # Prices alternate high and low by day, so the next day's move is learnable.
