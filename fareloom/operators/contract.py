@@ -117,10 +117,44 @@ def check_offers(offers: DataFrame) -> DataFrame:
     return checked.withColumn("contract_valid", F.size("contract_errors") == 0)
 
 
+# The JSON type of each field of the published offer.
+JSON_TYPES = {
+    **{name: "string" for name in OFFER_COLUMNS},
+    "duration_min": "integer", "seats_left": "integer", "price_ngn": "number",
+}
+_NUMERIC = r"^(?:BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
+
+
+def _typed(message: Column, name: str) -> tuple[Column, Column]:
+    """A field's value if it has its JSON type, and whether it is there with another one.
+
+    A whole number may be written with a fraction of zero; a number in quotes is a string.
+    A JSON null counts as missing.
+    """
+    wanted, at = JSON_TYPES[name], f"$.{name}"
+    kind = F.schema_of_variant(F.try_variant_get(message, at, "variant"))
+    there = kind.isNotNull() & (kind != "VOID")
+    if wanted == "string":
+        good = kind == "STRING"
+        value = F.try_variant_get(message, at, "string")
+    else:
+        value = F.try_variant_get(message, at, "double")
+        good = kind.rlike(_NUMERIC) & value.isNotNull()
+        if wanted == "integer":
+            good = good & (value == F.floor(value))
+            value = value.try_cast("int")
+    return F.when(good, value), there & ~F.coalesce(good, F.lit(False))
+
+
 def check_messages(messages: DataFrame, body: str = "value") -> DataFrame:
-    """Check raw JSON offers: unknown fields and wrong types are problems too."""
-    offer = F.from_json(F.col(body), OFFER)
-    parsed = messages.withColumn("offer", offer)
+    """Check raw JSON offers: unknown fields and wrong types are problems too.
+
+    Each message is parsed once, as a VARIANT, and its fields are looked at by path. A field of
+    another type than the published one is a problem of its own and counts as missing. What is
+    no JSON object has no other problem than that. Adds ``offer`` and ``contract_errors``.
+    """
+    parsed = evaluated_once(messages, {"_v": F.try_parse_json(body)})
+    fields = {name: _typed(F.col("_v"), name) for name in OFFER_COLUMNS}
     unknown = F.transform(
         F.array_except(
             F.coalesce(F.json_object_keys(body), F.array().cast("array<string>")),
@@ -128,21 +162,20 @@ def check_messages(messages: DataFrame, body: str = "value") -> DataFrame:
         ),
         lambda name: F.concat(F.lit("unexpected:"), name),
     )
-    mistyped = [
-        F.when(
-            F.get_json_object(body, f"$.{name}").isNotNull() & F.col(f"offer.{name}").isNull(),
-            F.lit(f"type:{name}"),
-        )
-        for name in ("duration_min", "price_ngn", "seats_left")
-    ]
-    raw = F.concat_ws("|", unknown, *mistyped)
-    checked = _checked(parsed, "offer", raw)
-    return checked.withColumn(
-        "contract_errors",
-        F.when(F.json_object_keys(body).isNull(), F.array(F.lit("not_an_object"))).otherwise(
-            F.col("contract_errors")
-        ),
+    mistyped = [F.when(wrong, F.lit(f"type:{name}")) for name, (_, wrong) in fields.items()]
+    parsed = evaluated_once(
+        parsed,
+        {
+            "offer": F.struct(*[value.alias(name) for name, (value, _) in fields.items()]),
+            "_raw": F.concat_ws("|", unknown, *mistyped),
+            "_object": F.schema_of_variant("_v").startswith("OBJECT"),
+        },
+    )
+    checked = _checked(parsed, "offer", F.col("_raw"))
+    errors = F.when(F.col("_object"), F.col("contract_errors")).otherwise(
+        F.array(F.lit("not_an_object"))
     )
+    return checked.withColumn("contract_errors", errors).drop("_v", "_raw", "_object")
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

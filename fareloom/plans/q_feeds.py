@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,12 +12,12 @@ from fareloom.functions import identity, money, times
 from fareloom.operators import contract, dashboard, normalise, ops
 from fareloom.plans import view_sql as S
 from fareloom.plans.registry import question
-from fareloom.plans.views import KEYS, Views, probability
+from fareloom.plans.views import KEYS, TABLES, Views, probability
 from fareloom.session import new_path
 from fareloom.sources import registry, tables
 from fareloom.sources.feeds import decode
 from fareloom.sources.schemas import OFFER, OFFER_COLUMNS
-from fareloom.streaming import flows
+from fareloom.streaming import flows, state
 
 _UNKNOWN = "event_id % 50 = 0"
 _ROAD_ID = f"""
@@ -180,6 +181,84 @@ def stream_latest(v):
     )
 
 
+_STATE_SQL = (
+    S.with_views(S.OBS)
+    + f"""
+  SELECT offer_id, price_ngn, seats_left, {S.utc_text('fetched_at')} AS fetched_at FROM obs
+  QUALIFY row_number() OVER (PARTITION BY offer_id
+    ORDER BY date_trunc('second', fetched_at) DESC, carrier DESC, mode DESC, origin DESC,
+      destination DESC, depart_time DESC, duration_min DESC, price_ngn DESC,
+      seats_left DESC NULLS LAST, booking_url DESC) = 1"""
+)
+DELIVERIES = 4
+
+
+def _deliver(v: Views, folder: str, part: int) -> None:
+    """One more delivery of the events: their fourth, as files added to a folder."""
+    events = v.table("events").filter(F.col("event_id") % DELIVERIES == part)
+    events.write.mode("append").parquet(folder)
+
+
+def _delivered(v: Views, folder: str) -> DataFrame:
+    """The offers of all deliveries so far, as a stream."""
+    events = v.spark.readStream.schema(TABLES["events"]).parquet(folder)
+    return v.as_text(v.observe(events)).select(*OFFER_COLUMNS)
+
+
+@question("stream_running_latest", _STATE_SQL)
+def stream_running_latest(v):
+    """A kept table of latest offers after five deliveries, the last an old one again.
+
+    Every run resumes from the checkpoint; deltas are merged into a new base every second one.
+    """
+    folder, out, marks = (new_path(v.spark, n) for n in ("delivered", "state", "marks"))
+    for part in (0, 1, 2, 3, 0):
+        _deliver(v, folder, part)
+        state.write_state(
+            _delivered(v, folder), out, marks, buckets=8, merge_every=2, once=True
+        ).awaitTermination()
+    return state.read_state(v.spark, out).select(
+        "offer_id", "price_ngn", "seats_left", "fetched_at"
+    )
+
+
+@question(
+    "stream_restart",
+    S.with_views(S.OBS)
+    + f"""SELECT offer_id, price_ngn, seats_left, {S.utc_text('fetched_at')} AS fetched_at,
+    2 AS copies FROM obs""",
+)
+def stream_restart(v):
+    """A stream that fails before its second batch is written and is started again.
+
+    Beside it runs one that never fails; every offer is in either output once.
+    """
+    folder, out, marks = (new_path(v.spark, n) for n in ("delivered", "offers", "marks"))
+    whole, whole_marks = new_path(v.spark, "offers"), new_path(v.spark, "marks")
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    def fail(batch: DataFrame, number: int) -> None:
+        raise RuntimeError("stopped between batches")
+
+    for part in range(DELIVERIES):
+        _deliver(v, folder, part)
+        if part == 1:
+            try:
+                flows.each_batch(_delivered(v, folder), marks, fail, once=True).awaitTermination()
+            except StreamingQueryException:
+                pass  # the batch is written by the next run
+        flows.each_batch(_delivered(v, folder), marks, write, once=True).awaitTermination()
+    flows.write_offers(_delivered(v, folder), whole, whole_marks, once=True).awaitTermination()
+    columns = ["offer_id", "price_ngn", "seats_left", "fetched_at"]
+    resumed = v.spark.read.schema(f"{OFFER}, batch int").parquet(out).select(*columns)
+    at_once = v.spark.read.schema(OFFER).parquet(whole).select(*columns)
+    return resumed.unionByName(at_once).groupBy(*columns).agg(
+        F.count(F.lit(1)).cast("int").alias("copies")
+    )
+
+
 # --------------------------------------------------------------- dimensions --
 
 
@@ -481,6 +560,84 @@ def quarantine(v):
     )
 
 
+@question(
+    "contract_messages",
+    S.with_views(S.OBS)
+    + f"""
+  SELECT event_id, CASE kind WHEN 0 THEN 'unexpected:card'
+      WHEN 1 THEN 'type:price_ngn|required:price_ngn'
+      WHEN 2 THEN 'type:price_ngn|required:price_ngn'
+      WHEN 3 THEN 'type:seats_left|required:seats_left'
+      WHEN 4 THEN 'type:carrier|required:carrier'
+      WHEN 5 THEN 'type:duration_min|required:duration_min'
+      WHEN 6 THEN 'required:origin' WHEN 7 THEN 'type:booking_url|required:booking_url'
+      WHEN 8 THEN 'not_an_object' WHEN 9 THEN 'not_an_object'
+      WHEN 10 THEN 'unexpected:card|unexpected:zone' WHEN 11 THEN 'required:price_ngn'
+      ELSE CASE WHEN {_DEPARTED} THEN 'already_departed' ELSE '' END END AS errors
+  FROM (SELECT *, event_id % 26 AS kind FROM obs)""",
+)
+def contract_messages(v):
+    """Every event as a raw JSON message, of which nearly half are damaged in one of twelve ways."""
+    kind = F.col("event_id") % 26
+
+    def field(name: str, value: str) -> Column:
+        return F.regexp_replace("value", f'"{name}":(?:"[^"]*"|[^,}}]+)', f'"{name}":{value}')
+
+    damaged = {
+        0: F.regexp_replace("value", r"^\{", '{"card":"4111",'),
+        1: field("price_ngn", '"call us"'),
+        2: field("price_ngn", '"25000.0"'),
+        3: field("seats_left", "1.5"),
+        4: field("carrier", "5"),
+        5: field("duration_min", "true"),
+        6: F.regexp_replace("value", '"origin":"[^"]*",', ""),
+        7: field("booking_url", '{"href":"https://x.example"}'),
+        8: F.concat(F.lit("["), "value", F.lit("]")),
+        9: F.substring("value", 1, 40),
+        10: F.regexp_replace("value", r"^\{", '{"card":"4111","zone":1,'),
+        11: field("price_ngn", "null"),
+    }
+    sent = v.as_text(v.obs).select(
+        "event_id", F.to_json(F.struct(*OFFER_COLUMNS)).alias("value")
+    )
+    value = F.coalesce(*[F.when(kind == k, text) for k, text in damaged.items()], F.col("value"))
+    return contract.check_messages(sent.withColumn("value", value)).select(
+        "event_id", F.array_join("contract_errors", "|").alias("errors")
+    )
+
+
+@question(
+    "prediction_constraints",
+    S.with_views(S.OBS, S.PREDICTIONS)
+    + """
+  SELECT offer_id, epoch_us(predicted_at) AS predicted_us,
+    CASE WHEN CAST(1.5 AS DOUBLE) * probability - CAST(0.2 AS DOUBLE) BETWEEN 0 AND 1
+      THEN '' ELSE 'probability' END AS errors FROM predictions""",
+)
+def prediction_constraints(v):
+    """What the prediction log refuses, of predictions stretched beyond a probability."""
+    rows = v.predictions.withColumn("probability", F.lit(1.5) * F.col("probability") - F.lit(0.2))
+    return rows.select(
+        "offer_id", F.unix_micros("predicted_at").alias("predicted_us"),
+        F.array_join(contract.prediction_problems(), "|").alias("errors"),
+    )
+
+
+@question(
+    "booking_constraints",
+    S.with_views(S.OBS, S.LEDGER)
+    + """
+  SELECT idempotency_key, CASE WHEN length(idempotency_key) % 3 = 0 THEN 'state' ELSE '' END
+    AS errors FROM ledger""",
+)
+def booking_constraints(v):
+    """What the ledger refuses, of rows of which a third are in no legal state."""
+    state_ = F.when(F.length("idempotency_key") % 3 == 0, "lost").otherwise(F.col("state"))
+    return v.ledger.withColumn("state", state_).select(
+        "idempotency_key", F.array_join(contract.booking_problems(), "|").alias("errors")
+    )
+
+
 @question(
     "history_constraints",
     S.with_views(S.OBS)

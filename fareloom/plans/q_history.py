@@ -14,7 +14,7 @@ from fareloom.plans.q_feeds import _stored
 from fareloom.plans.registry import question
 from fareloom.plans.views import LISTING_NOW, OBS_NOW, Views
 from fareloom.session import new_path, stored
-from fareloom.sources import tables
+from fareloom.sources import predictions, tables
 
 _STORED_SQL = """SELECT offer_id, carrier, mode, origin, destination,
     epoch_us(depart_time) AS depart_us, duration_min, price_ngn, seats_left, booking_url,
@@ -89,12 +89,11 @@ def lookups_of_a_hot_key(v):
     "recent_history",
     S.with_views(S.OBS)
     + f"""{_STORED_SQL} WHERE fetched_at >= {S.OBS_AT} - to_hours(48)
-    AND offer_id IN (SELECT offer_id FROM obs WHERE event_type = 'purchase')""",
+    AND offer_id IN (SELECT offer_id FROM obs)""",
 )
 def recent_history(v):
-    """What was seen in two days of the offers that were bought."""
-    asked = v.obs.filter("event_type = 'purchase'")
-    return _stored(features.recent_history(v.history, asked, v.at(OBS_NOW)))
+    """What was seen in two days of every offer there is."""
+    return _stored(features.recent_history(v.history, v.obs, v.at(OBS_NOW)))
 
 
 _ROUTE = f"""origin = 'LOS' AND destination = 'ABV'
@@ -536,6 +535,34 @@ def prediction_outcome(v):
     )
 
 
+_MIDWAY = "2024-01-15 00:00:00"
+
+
+@question(
+    "prediction_backfill",
+    _RESOLVED
+    + f"""SELECT offer_id, epoch_us(predicted_at) AS predicted_us, will_rise, price_at_prediction,
+    actual_rose, CASE WHEN actual_rose IS NOT NULL THEN epoch_us(scored_at) END AS scored_us,
+    true AS settled FROM resolved""",
+)
+def prediction_backfill(v):
+    """The log of all predictions, written twice, its outcomes filled in midway and at the end.
+
+    ``settled``: running it once more rewrote no day.
+    """
+    path = new_path(v.spark, "predictions")
+    for _ in range(2):
+        predictions.append_predictions(v.predictions, path)
+    predictions.fill_in(v.spark, path, v.history, v.at(_MIDWAY))
+    predictions.fill_in(v.spark, path, v.history, v.at(OBS_NOW))
+    again = predictions.fill_in(v.spark, path, v.history, v.at(OBS_NOW))
+    return predictions.read_predictions(v.spark, path).select(
+        "offer_id", F.unix_micros("predicted_at").alias("predicted_us"), "will_rise",
+        F.col("price_at_prediction").cast("double").alias("price_at_prediction"), "actual_rose",
+        F.unix_micros("scored_at").alias("scored_us"), F.lit(not again).alias("settled"),
+    )
+
+
 @question(
     "prediction_counts",
     _RESOLVED
@@ -565,10 +592,23 @@ def daily_accuracy(v):
 # ----------------------------------------------------------------- training --
 
 
-def _trained(v: Views) -> tuple:
-    """Features written once, so each tree reads a table and not the whole lineage."""
-    rows = stored(features.build_features(v.history), "features")
-    return training.train(rows)
+# Models of this session's tables: where they are kept, and their record.
+_MODELS: dict[tuple[str, str], tuple[str, dict]] = {}
+
+
+def _trained(v: Views) -> tuple[str, dict]:
+    """A trained model, saved, and its report; once a session and folder.
+
+    Features are written once, so each tree reads a table and not the whole lineage.
+    """
+    key = (v.spark.sparkContext.applicationId, v.dir)
+    if key not in _MODELS:
+        rows = stored(features.build_features(v.history), "features")
+        model, report = training.train(rows)
+        path = new_path(v.spark, "model")
+        model.write().save(path)
+        _MODELS[key] = (path, report)
+    return _MODELS[key]
 
 
 @question("train_metrics")
@@ -582,9 +622,11 @@ def train_metrics(v):
 
 @question("score_latest")
 def score_latest(v):
+    """Every known offer scored; the answers go to the prediction log as well."""
     now = v.at(OBS_NOW)
-    model, _ = _trained(v)
-    path = new_path(v.spark, "model")
-    model.write().save(path)
-    model = PipelineModel.load(path)
-    return training.score(model, v.latest_obs, v.history, now, "gbt-demo")
+    model = PipelineModel.load(_trained(v)[0])
+    answers = stored(training.score(model, v.latest_obs, v.history, now, "gbt-demo"), "answers")
+    predictions.append_predictions(
+        training.prediction_log(answers, now), new_path(v.spark, "predictions")
+    )
+    return answers

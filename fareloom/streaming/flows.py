@@ -32,9 +32,14 @@ def running_latest(offers: DataFrame) -> DataFrame:
     return offers.groupBy("offer_id").agg(best.alias("best")).select("best.row.*")
 
 
-def _start(
-    stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], once: bool
+def each_batch(
+    stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], once: bool = False
 ) -> StreamingQuery:
+    """Run ``each`` on every micro-batch and its number. A batch that failed keeps its number.
+
+    A restart repeats a batch that was not finished, with the same rows, so what ``each``
+    writes under the batch's number is written once.
+    """
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
     if once:
         writer = writer.trigger(availableNow=True)
@@ -73,7 +78,7 @@ def write_history(
         finally:
             rows.unpersist()
 
-    return _start(offers, checkpoint, append, once)
+    return each_batch(offers, checkpoint, append, once)
 
 
 def write_latest(
@@ -91,7 +96,7 @@ def write_latest(
             f"{path}/batch={number}"
         )
 
-    return _start(offers, checkpoint, slice_of, once)
+    return each_batch(offers, checkpoint, slice_of, once)
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
