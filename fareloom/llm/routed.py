@@ -6,9 +6,12 @@ network learns which parts hold a vector's neighbours. It places every row in it
 probable part and routes a query to as many of its most probable parts as the sample
 needs for its recall. There every vector is compared exactly, in double precision.
 
-Only the sample is bounded; every row is indexed. Parts are split into shards of a few
-thousand rows, to which a query is sent alike, and a part's queries into blocks of a few
-thousand, so a task holds one block and one shard however hot the part is.
+Only the sample is bounded; every row is indexed. The number of parts grows with the table
+as far as the sample can tell them apart. Parts are split into shards of a few thousand
+rows, to which a query is sent alike, and a part's queries into blocks of a few thousand, so
+a task holds one block and one shard however hot the part is. A query that finds too few
+rows in its parts is sent on to all others. Vectors are compared with those of their own
+length: each of the most frequent lengths has a router, any other length is one part.
 """
 
 from __future__ import annotations
@@ -25,7 +28,9 @@ from fareloom.llm.common import prepare, stored
 
 NEIGHBOURS = 20
 SAMPLE = 8000  # vectors the graph is built on, at most
-PARTS = 16
+PARTS = 16  # at least; one more for every PART_ROWS rows, as long as the sample suffices
+PART_ROWS = 800
+ROUTERS = 16  # lengths with a router of their own
 HIDDEN = 64
 RECALL = 0.97  # of the held-out sample queries, aimed at when routing
 SHARD_ROWS = 4000
@@ -154,7 +159,7 @@ def _train(x: np.ndarray, target: np.ndarray, seed: int = 3) -> Router:
 
 
 def learn(x: np.ndarray, parts: int = PARTS, k: int = NEIGHBOURS) -> Router | None:
-    """A router from sample vectors; None if they are too few to part."""
+    """A router from sample vectors; None if they are too few to part (100 for each)."""
     parts = min(parts, len(x) // 100)
     if parts < 2:
         return None
@@ -177,11 +182,7 @@ def learn(x: np.ndarray, parts: int = PARTS, k: int = NEIGHBOURS) -> Router | No
 
 
 def usable(vectors: DataFrame, name: str = "embedding") -> DataFrame:
-    """Rows with an id and a vector of finite components that are not all zero.
-
-    Of vectors of several lengths only those of the most frequent one can be compared;
-    the smallest such length if several are.
-    """
+    """Rows with an id and a vector of finite components that are not all zero."""
     good = F.coalesce(
         F.forall(
             name,
@@ -203,101 +204,149 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def search(vectors: DataFrame, k: int = NEIGHBOURS, every: int = 20) -> DataFrame:
     """Each query's ``k`` nearest found: query_id, rank, vec_id, score.
 
-    Queries are the rows whose vec_id is divisible by ``every``; a row is no candidate
-    for a query of its own id. Ties go to the smaller vec_id. Rows with a null id, and
-    vectors that are null, zero or hold null or non-finite components, take no part;
-    repeated ids are one vector, the smallest in order. Fewer than ``k`` candidates give
-    as many rows; an empty table gives none. With too few vectors to part, all are
-    compared.
+    Queries are the rows whose vec_id is divisible by ``every``; candidates of a query are
+    all rows but itself whose vectors have its length. Ties go to the smaller vec_id. Rows
+    with a null id, and vectors that are null, zero or hold null or non-finite components,
+    take no part. Rows that repeat an id are rows of their own: each is a candidate, of the
+    others of its id too, and each asks, so such an id has as many answers of ``k`` rows. Fewer
+    than ``k`` candidates give as many rows; an empty table gives none. With too few vectors
+    to part, all are compared.
     """
     spark = prepare(vectors.sparkSession)
-    good = (
-        usable(vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding"))
-        .groupBy("vec_id")
-        .agg(F.min("embedding").alias("embedding"))
-    )
-    lengths = good.groupBy(F.size("embedding").alias("d")).count()
-    d = lengths.orderBy(F.desc("count"), "d").first()
-    if d is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    good = stored(good.where(F.size("embedding") == d["d"]), "vectors")
-    some = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()  # bounded
-    sample = np.array(some["embedding"].tolist(), np.float64)
-    router = spark.sparkContext.broadcast(learn(sample, k=min(k, max(1, len(sample) - 1))))
+    good = usable(vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding"))
+    good = stored(
+        good.select(
+            F.monotonically_increasing_id().alias("row"), "vec_id", "embedding",
+            F.size("embedding").alias("d"),
+        ),
+        "vectors",
+    )
+    lengths = stored(good.groupBy("d").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    routers: dict[int, Router] = {}
+    for d, n in lengths.orderBy(F.desc("n"), "d").limit(ROUTERS).collect():
+        same = good.where(F.col("d") == d).orderBy(F.xxhash64("vec_id", "row"), "row")
+        some = same.select("embedding").limit(SAMPLE).toPandas()  # bounded
+        sample = np.array(some["embedding"].tolist(), np.float64)
+        near = min(k, max(1, len(sample) - 1))
+        router = learn(sample, max(PARTS, n // PART_ROWS), near)
+        if router is not None:
+            routers[d] = router
+    shared = spark.sparkContext.broadcast(routers)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = router.value
+        own = shared.value
         for batch in batches:
-            n = batch.num_rows
-            if own is None:
-                order, probes = np.zeros((n, 1), np.int64), 1
-            else:
-                order, probes = own.parts(_matrix(batch.column("embedding"))), own.probes
-            routes = pa.array(order[:, :probes].astype(np.int32).ravel())
-            offsets = np.arange(n + 1, dtype=np.int32) * probes
+            sizes, ids = batch.column("d").to_numpy(), batch.column("vec_id").to_numpy()
+            # A length's parts are numbered from a base of its own.
+            base = sizes.astype(np.int64) << 20
+            routes = list(base[:, None])
+            probes = np.ones(batch.num_rows, np.int32)
+            for d in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == d)
+                router = own.get(d)
+                if router is None:
+                    continue
+                order = router.parts(_matrix(batch.column("embedding").take(pa.array(at))))
+                probes[at] = router.probes
+                for i, parts in zip(at.tolist(), order.astype(np.int64)):
+                    # A query knows all parts in their order, another row only its own.
+                    routes[i] = base[i] + (parts if ids[i] % every == 0 else parts[:1])
+            offsets = np.concatenate([[0], np.cumsum([len(r) for r in routes])]).astype(np.int32)
+            flat = np.concatenate(routes) if routes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.ListArray.from_arrays(offsets, routes)],
-                names=["vec_id", "embedding", "routes"],
+                [*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.array(probes)],
+                names=["row", "vec_id", "embedding", "d", "routes", "probes"],
             )
 
     kind = good.schema["embedding"].dataType.simpleString()
     routed = stored(
-        good.mapInArrow(route, f"vec_id bigint, embedding {kind}, routes array<int>"), "routed"
+        good.mapInArrow(
+            route,
+            f"row bigint, vec_id bigint, embedding {kind}, d int, routes array<bigint>, probes int",
+        ),
+        "routed",
     )
-    part = F.col("routes")[0]
-    asked_of = routed.where(F.col("vec_id") % every == 0)
-    sizes = routed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
-    asked_of_part = asked_of.select(F.explode("routes").alias("part")).groupBy("part")
-    loads = asked_of_part.agg(F.count(F.lit(1)).alias("q"))
-    # One row per part of the router, at most PARTS. A part without rows answers nothing.
-    cuts = F.broadcast(
-        stored(
-            sizes.join(loads, "part").select(
-                "part",
-                F.ceil(F.col("n") / SHARD_ROWS).alias("shards"),
-                F.ceil(F.col("q") / BLOCK_QUERIES).alias("blocks"),
-            ),
-            "cuts",
-        )
+    asked = routed.where(F.col("vec_id") % every == 0)
+    first = F.slice("routes", F.lit(1), F.col("probes"))
+    found = stored(_best(_compared(routed, asked.withColumn("go", first), k), k), "found")
+    # Queries that found fewer than there are go to their remaining parts too.
+    counts = found.groupBy("query").agg(F.count(F.lit(1)).alias("has"))
+    short = (
+        asked.where(F.size("routes") > F.col("probes"))
+        .join(lengths, "d")
+        .join(counts, F.col("row") == F.col("query"), "left")
+        .where(F.coalesce("has", F.lit(0)) < F.least(F.lit(k), F.col("n") - 1))
+        .select(*asked.columns)
+    )
+    if short.take(1):
+        rest = F.slice("routes", F.col("probes") + 1, F.size("routes"))
+        more = _compared(routed, short.withColumn("go", rest), k)
+        found = _best(found.drop("rank").unionByName(more), k)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _compared(routed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best rows of every part a query goes to: query, query_id, row, vec_id, score.
+
+    ``asked`` has the parts in ``go``. Parts of different lengths are different parts.
+    """
+    home = F.col("routes")[0].alias("part")
+    sizes = routed.groupBy(home).agg(F.count(F.lit(1)).alias("n"))
+    sent = asked.select(F.explode("go").alias("part")).groupBy("part")
+    loads = sent.agg(F.count(F.lit(1)).alias("q"))
+    # One row per part. A part without rows answers nothing.
+    cuts = stored(
+        sizes.join(loads, "part").select(
+            "part",
+            F.ceil(F.col("n") / SHARD_ROWS).alias("shards"),
+            F.ceil(F.col("q") / BLOCK_QUERIES).alias("blocks"),
+        ),
+        "cuts",
     )
 
     def numbers(count: str):
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
 
     members = (
-        routed.select("vec_id", "embedding", part.alias("part"))
+        routed.select("row", "vec_id", "embedding", home)
         .join(cuts, "part")
-        .withColumn("shard", F.pmod(F.xxhash64("vec_id"), "shards"))
-        .select("vec_id", "embedding", "part", "shard", numbers("blocks").alias("block"))
+        .withColumn("shard", F.pmod(F.xxhash64("row"), "shards"))
+        .select("row", "vec_id", "embedding", "part", "shard", numbers("blocks").alias("block"))
     )
     queries = (
-        asked_of.select(
-            F.col("vec_id").alias("query_id"),
-            F.col("embedding").alias("query"),
-            F.explode("routes").alias("part"),
+        asked.select(
+            F.col("row").alias("query"), F.col("vec_id").alias("query_id"),
+            F.col("embedding").alias("vector"), F.explode("go").alias("part"),
         )
         .join(cuts, "part")
-        .withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks"))
-        .select("query_id", "query", "part", numbers("shards").alias("shard"), "block")
-    )
+        .withColumn("block", F.pmod(F.xxhash64("query"), "blocks"))
+        .select("query", "query_id", "vector", "part", numbers("shards").alias("shard"), "block")
+    )
 
     def compare(asked: pa.Table, own: pa.Table) -> pa.Table:
-        out = {"query_id": [], "vec_id": [], "score": []}
+        out: dict[str, list] = {"query": [], "query_id": [], "row": [], "vec_id": [], "score": []}
         if asked.num_rows and own.num_rows:
-            own = own.sort_by("vec_id").combine_chunks()
-            ids = own.column("vec_id").to_numpy()
+            own = own.sort_by([("vec_id", "ascending"), ("row", "ascending")]).combine_chunks()
+            rows, ids = own.column("row").to_numpy(), own.column("vec_id").to_numpy()
             have = _matrix(own.column("embedding").combine_chunks())
-            asked = asked.combine_chunks()
             for s in range(0, asked.num_rows, 256):
                 some = asked.slice(s, 256).combine_chunks()
-                query = some.column("query_id").to_numpy()
-                score = inner(_matrix(some.column("query").combine_chunks()), have)
-                score[query[:, None] == ids[None, :]] = -np.inf
+                query, query_id = some.column("query").to_numpy(), some.column("query_id").to_numpy()
+                score = inner(_matrix(some.column("vector").combine_chunks()), have)
+                score[query[:, None] == rows[None, :]] = -np.inf  # itself
                 # Stable: equal scores stay in the order of their ids.
                 best = np.argsort(-score, axis=1, kind="stable")[:, :k]
                 value = np.take_along_axis(score, best, 1)
-                real = value > -np.inf
-                out["query_id"].append(np.repeat(query, real.sum(axis=1)))
+                real = query[:, None] != rows[best]
+                each = real.sum(axis=1)
+                out["query"].append(np.repeat(query, each))
+                out["query_id"].append(np.repeat(query_id, each))
+                out["row"].append(rows[best[real]])
                 out["vec_id"].append(ids[best[real]])
                 out["score"].append(value[real])
         return pa.table(
@@ -309,14 +358,11 @@ def search(vectors: DataFrame, k: int = NEIGHBOURS, every: int = 20) -> DataFram
             }
         )
 
-    found = (
-        queries.groupBy("part", "shard", "block")
-        .cogroup(members.groupBy("part", "shard", "block"))
-        .applyInArrow(compare, "query_id bigint, vec_id bigint, score double")
-    )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    key = ["part", "shard", "block"]
     return (
-        found.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        queries.groupBy(*key)
+        .cogroup(members.groupBy(*key))
+        .applyInArrow(
+            compare, "query bigint, query_id bigint, row bigint, vec_id bigint, score double"
+        )
     )
