@@ -24,6 +24,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -37,6 +38,10 @@ from fareloom.llm.linkgraph import host_of
 
 THRESHOLD = 0.25  # importance below which a branch is noise
 WEAK_WEIGHT = 0.5  # of the importance of what has a weak name: kept if its texts are its own
+# Shares of a host's pages on which a text, and an element, must be to be layout at all; half of
+# it under a weak name. Entropies alone would ask less of a large site than of a small one.
+COMMON_TEXT = 0.3
+COMMON_BRANCH = 0.1
 CONTENT_SHARE = 0.9  # of content in a node's importance; the rest is presentation
 MIN_PAGES = 4  # pages a branch must be seen on before it can be called noise
 LEAST_SPREAD = math.log(MIN_PAGES) - 1e-9  # the entropy of as many unlike pages
@@ -101,10 +106,16 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 
 
+# Levels a path is spelled out for. Below, a new path begins at a key of the one above, so a
+# page's paths take memory in proportion to its elements however deep they are nested.
+CHAIN = 64
+
+
 @dataclass
 class Node:
     tag: str
     path: str
+    level: int  # of the path's last element within its chain
     noise: bool
     article: bool
     weak: bool
@@ -142,12 +153,15 @@ class Page:
 
     blocks: list[tuple[str, str, bool]]  # path, text, under a weak name
     styles: list[tuple[str, str, bool]]  # path, child tags, under a weak name
+    links: dict[str, str]  # the path above the beginning of each further chain
 
 
 def parse(source: str) -> Page:
     """The page without what says it is noise. Unclosed and stray tags are taken as they come."""
-    root = Node("", "", False, False, False)
+    root = Node("", "", 0, False, False, False)
     stack, blocks, styles = [root], [], []
+    links: dict[str, str] = {}
+    opened: Counter[str] = Counter()  # open elements by tag, so that none is looked for in vain
     text: list[str] = []
 
     def flush() -> None:
@@ -161,6 +175,7 @@ def parse(source: str) -> Page:
     def close(depth: int) -> None:
         while len(stack) > depth:
             node = stack.pop()
+            opened[node.tag] -= 1
             if node.tag in BLOCK and not node.noise:
                 styles.append((node.path, " ".join(node.children), node.weak))
 
@@ -179,7 +194,9 @@ def parse(source: str) -> Page:
             continue
         tag = tag.lower()
         if ending:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            depth = 0
+            if opened[tag]:
+                depth = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag)
             if depth and (tag in BLOCK or not any(n.tag in BLOCK for n in stack[depth + 1 :])):
                 if tag in BLOCK:
                     flush()
@@ -191,14 +208,14 @@ def parse(source: str) -> Page:
                     text.append(" ")
             else:
                 flush()
-                for i in range(len(stack) - 1, 0, -1):  # an open paragraph ends here
-                    if stack[i].tag == "p":
+                for i in range(len(stack) - 1, 0, -1) if opened["p"] else ():
+                    if stack[i].tag == "p":  # an open paragraph ends here
                         close(i)
                         break
                     if stack[i].tag in SCOPE:
                         break
         for other in CLOSES.get(tag, ()):
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[other] else ():
                 if stack[i].tag == other:
                     close(i)
                     break
@@ -210,7 +227,12 @@ def parse(source: str) -> Page:
         style, says, weak = _marks(tag, attributes)
         article = parent.article or tag in ("article", "main") or "@main" in style
         noise = parent.noise or says or tag in NOISE or (tag == "header" and not parent.article)
-        path = f"{parent.path}>{tag}{style}" if tag in BLOCK else parent.path
+        path, level = parent.path, parent.level
+        if tag in BLOCK:
+            if level == CHAIN:
+                above, path, level = path, f"~{_key(path):x}", 0
+                links[path] = above
+            path, level = f"{path}>{tag}{style}", level + 1
         if tag in BLOCK and (not parent.children or parent.children[-1] != tag):
             parent.children.append(tag)
         if noise and not parent.noise and tag in BLOCK:
@@ -223,10 +245,11 @@ def parse(source: str) -> Page:
             continue
         if attributes.endswith("/") and tag in ("svg", "path"):
             continue
-        stack.append(Node(tag, path, noise, article, parent.weak or weak and tag in BLOCK))
+        stack.append(Node(tag, path, level, noise, article, parent.weak or weak and tag in BLOCK))
+        opened[tag] += 1
     flush()
     close(1)
-    return Page(blocks, styles)
+    return Page(blocks, styles, links)
 
 
 def _key(*parts: str) -> int:
@@ -256,28 +279,27 @@ def extract(source: str | None, noise: set[int]) -> str:
     """The page's text without the branches and texts that are in ``noise``."""
     if not source:
         return ""
-    known: dict[str, bool] = {}
+    page = parse(source)
+    known: dict[str, bool] = {"": False}
 
     def gone(path: str) -> bool:
         """The element or one above it is noise."""
-        if path not in known:
-            above = path.rpartition(">")[0]
-            known[path] = bool(above) and gone(above) or _key(path) in noise
-        return known[path]
+        trail = []
+        while path not in known:
+            trail.append(path)
+            path = path.rpartition(">")[0] or page.links.get(path, "")
+        state = known[path]
+        for below in reversed(trail):
+            state = known[below] = state or _key(below) in noise
+        return state
 
     return "\n\n".join(
         text
-        for path, text, _ in parse(source).blocks
+        for path, text, _ in page.blocks
         if not noise or not (gone(path) or _key(path, text) in noise)
     )
 
 
-def _ancestors(path: str) -> Iterator[str]:
-    while path:
-        yield path
-        path = path.rpartition(">")[0]
-
-
 def noise_of(pages: DataFrame) -> DataFrame:
     """(host, noise): what is of low importance in every host's tree, as keys of paths
     and of paths with a text.
@@ -354,6 +376,8 @@ def noise_of(pages: DataFrame) -> DataFrame:
         "transform(sequence(0, size(split(path, '>')) - 1), "
         "i -> array_join(slice(split(path, '>'), 1, i + 1), '>'))"
     )
+    # The root has the texts of further chains too; other elements have those of their own.
+    above = F.array_union(above, F.array(F.lit("")))
     below = (
         sums.where("texts > 0")
         .select("host", F.explode(above).alias("path"), "texts", "text_spread", "widest")
@@ -379,8 +403,13 @@ def noise_of(pages: DataFrame) -> DataFrame:
     importance = CONTENT_SHARE * content + (1 - CONTENT_SHARE) * presentation
     importance *= F.when(F.col("weak") == 1, WEAK_WEIGHT).otherwise(1.0)
     key = F.udf(_key, "bigint")
-    branches = weighed.where((F.col("path") != "") & (importance < THRESHOLD)).select(
-        "host", key("path").alias("key")
+    site = weighed.where("path = ''").select("host", F.col("most").alias("site_most"))
+    share = F.lit(COMMON_BRANCH) * F.when(F.col("weak") == 1, WEAK_WEIGHT).otherwise(1.0)
+    branches = (
+        weighed.where((F.col("path") != "") & (importance < THRESHOLD))
+        .join(site, "host")
+        .where(F.col("page_spread") - F.col("site_most") >= F.log(share))
+        .select("host", key("path").alias("key"))
     )
     # A text has no children: its content alone decides, against all pages of the host.
     weight = F.when(F.col("kind") == 3, WEAK_WEIGHT).otherwise(1.0)
@@ -389,6 +418,7 @@ def noise_of(pages: DataFrame) -> DataFrame:
         .select("host", "value", "spread", weight.alias("weight"))
         .join(weighed.where("path = ''").select("host", "most"), "host")
         .where((1 - F.col("spread") / F.col("most")) * F.col("weight") < THRESHOLD)
+        .where(F.col("spread") - F.col("most") >= F.log(F.lit(COMMON_TEXT) * F.col("weight")))
         .select("host", F.col("value").alias("key"))
     )
     return (
