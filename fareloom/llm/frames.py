@@ -305,7 +305,9 @@ def write(docs: DataFrame, folder: str, path: str | None = None) -> DataFrame:
             }
         )
 
-    ranged = slim.repartitionByRange(shards, order[0]).sortWithinPartitions(*order)
+    # By the beginning of the text as well: rows without an id, or of one, are cut like others.
+    begins = F.substring("text", 1, 64).asc_nulls_first()
+    ranged = slim.repartitionByRange(shards, order[0], begins).sortWithinPartitions(*order)
     written = ranged.mapInArrow(run, "part int, file string, n_docs bigint, n_tokens bigint")
     return stored(written, "shards")
 
@@ -331,8 +333,8 @@ def read(spark: SparkSession, shards: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    # One row per shard, dealt out so that shards are read side by side.
-    return based.repartition(F.col("file")).mapInArrow(
+    # One row per shard and a task for each: a number given is not merged for being small.
+    return based.repartitionByRange(max(1, shards.count()), "part").mapInArrow(
         run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     )
 
