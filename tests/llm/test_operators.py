@@ -450,4 +450,4 @@ def test_vectors_out_of_the_ordinary(spark):
 
 def test_every_number_has_one_query():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
