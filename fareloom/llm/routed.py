@@ -267,8 +267,21 @@ def search(vectors: DataFrame, k: int = NEIGHBOURS, every: int = 20) -> DataFram
         "routed",
     )
     asked = routed.where(F.col("vec_id") % every == 0)
-    first = F.slice("routes", F.lit(1), F.col("probes"))
-    found = stored(_best(_compared(routed, asked.withColumn("go", first), k), k), "found")
+    # First the most probable part alone. Its k-th score is a floor for the others: what lies
+    # below it cannot be among the k, so of most parts only a few rows are sent.
+    no_floor = F.lit(float("-inf"))
+    head = asked.withColumns({"go": F.slice("routes", 1, 1), "floor": no_floor})
+    near = stored(_best(_compared(routed, head, k), k), "near")
+    floors = near.groupBy("query").agg(
+        F.when(F.count(F.lit(1)) == k, F.min("score")).alias("floor")
+    )
+    tail = (
+        asked.join(floors, F.col("row") == F.col("query"), "left")
+        .withColumn("go", F.slice("routes", F.lit(2), F.col("probes") - 1))
+        .select(*asked.columns, "go", F.coalesce("floor", no_floor).alias("floor"))
+    )
+    farther = _compared(routed, tail, k)
+    found = stored(_best(near.drop("rank").unionByName(farther), k), "found")
     # Queries that found fewer than there are go to their remaining parts too.
     counts = found.groupBy("query").agg(F.count(F.lit(1)).alias("has"))
     short = (
@@ -280,7 +293,7 @@ def search(vectors: DataFrame, k: int = NEIGHBOURS, every: int = 20) -> DataFram
     )
     if short.take(1):
         rest = F.slice("routes", F.col("probes") + 1, F.size("routes"))
-        more = _compared(routed, short.withColumn("go", rest), k)
+        more = _compared(routed, short.withColumns({"go": rest, "floor": no_floor}), k)
         found = _best(found.drop("rank").unionByName(more), k)
     return found.select("query_id", "rank", "vec_id", "score")
 
@@ -293,7 +306,8 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 def _compared(routed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     """The ``k`` best rows of every part a query goes to: query, query_id, row, vec_id, score.
 
-    ``asked`` has the parts in ``go``. Parts of different lengths are different parts.
+    ``asked`` has the parts in ``go`` and in ``floor`` the score below which none counts.
+    Parts of different lengths are different parts.
     """
     home = F.col("routes")[0].alias("part")
     sizes = routed.groupBy(home).agg(F.count(F.lit(1)).alias("n"))
@@ -321,11 +335,13 @@ def _compared(routed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     queries = (
         asked.select(
             F.col("row").alias("query"), F.col("vec_id").alias("query_id"),
-            F.col("embedding").alias("vector"), F.explode("go").alias("part"),
+            F.col("embedding").alias("vector"), "floor", F.explode("go").alias("part"),
         )
         .join(cuts, "part")
         .withColumn("block", F.pmod(F.xxhash64("query"), "blocks"))
-        .select("query", "query_id", "vector", "part", numbers("shards").alias("shard"), "block")
+        .select(
+            "query", "query_id", "vector", "floor", "part", numbers("shards").alias("shard"), "block"
+        )
     )
 
     def compare(asked: pa.Table, own: pa.Table) -> pa.Table:
@@ -343,6 +359,7 @@ def _compared(routed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
                 best = np.argsort(-score, axis=1, kind="stable")[:, :k]
                 value = np.take_along_axis(score, best, 1)
                 real = query[:, None] != rows[best]
+                real &= value >= some.column("floor").to_numpy()[:, None]
                 each = real.sum(axis=1)
                 out["query"].append(np.repeat(query, each))
                 out["query_id"].append(np.repeat(query_id, each))
