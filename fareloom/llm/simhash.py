@@ -219,10 +219,15 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **option
         with_fingerprint(slim, "fp", size=options.get("size", SHINGLE_WORDS)).drop("text"), "prints"
     )
     roots = rooted(marked.select("fp").distinct(), options.get("distance", MAX_BITS))
-    named = marked.join(roots, "fp", "left").select(
-        "doc_id", "fp", F.coalesce("root", "fp").alias("root")
+    named = stored(
+        marked.join(roots, "fp", "left").select(
+            "doc_id", "fp", F.coalesce("root", "fp").alias("root")
+        ),
+        "named",
     )
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Written first: a join splits a hot component only if neither side is made from the other's
+    # shuffle.
+    least = stored(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     return named.join(least, "root").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
