@@ -154,8 +154,12 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     trust = propagate(links, seeds.select("host", F.col("good").alias("seed")))
     back = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     distrust = propagate(back, seeds.select("host", F.col("bad").alias("seed")))
-    ranks = trust.withColumnRenamed("rank", "trust").join(
-        distrust.withColumnRenamed("rank", "distrust"), "host"
+    # Written first: the join below can split a hot host only against a plain table.
+    ranks = stored(
+        trust.withColumnRenamed("rank", "trust").join(
+            distrust.withColumnRenamed("rank", "distrust"), "host"
+        ),
+        "both",
     )
     known = slim.join(ranks, "host", "left").na.fill(0.0, ["trust", "distrust"])
     doubted = (F.col("distrust") > 0) & (F.col("distrust") >= RATIO * F.col("trust"))
