@@ -56,6 +56,7 @@ def _any(words) -> str:
 # (?U) makes word boundaries know letters beyond ASCII.
 _PLACE = rf"(?U)\b({_any(PLACE_WORDS)})\b"
 _AFTER = r"(?U)\b{word}\s+(?:the\s+)?({places})\b"
+# How the published date phrases are written.
 _ISO = r"(?U)\b(\d{4}-\d{2}-\d{2})\b"
 _WEEKDAY = rf"(?U)\b(next|this|coming)?\s*({_any(WEEKDAYS)})\b"
 _DAY_MONTH = rf"(?U)\b(\d{{1,2}})(?:st|nd|rd|th)?\s+({_any(MONTHS)})\b"
