@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -45,6 +45,22 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, Callable[[str], str]]:
+    """The same columns named c0, c1, ..., and what a given name is called now.
+
+    No name that an operator adds is among them, whatever the table's own names are.
+    """
+    names = docs.columns
+    return docs.toDF(*[f"c{i}" for i in range(len(names))]), lambda c: f"c{names.index(c)}"
+
+
+def unused(docs: DataFrame, prefix: str) -> str:
+    """``prefix``, lengthened until no column's name begins with it."""
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return prefix
+
+
 def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
@@ -75,11 +91,13 @@ __all__ = [
     "BATCH_ROWS",
     "WORD",
     "appended",
+    "numbered",
     "partitions",
     "pieces",
     "prepare",
     "stored",
     "table",
     "text_bytes",
+    "unused",
     "words",
 ]

@@ -25,12 +25,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from fareloom.llm.common import appended, stored, words
+from fareloom.llm.common import appended, numbered, pieces, stored, words
 from fareloom.llm.components import components
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 FANOUT = 8
+PART_BYTES = 1 << 20  # of text that is Python strings at once
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -59,7 +60,7 @@ def with_fingerprint(docs: DataFrame, name: str, text: str = "text", size: int =
     """``docs`` with the fingerprint as a signed 64-bit column ``name``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, text, PART_BYTES):
             found = [fingerprint(t, size) for t in batch.column(text).to_pylist()]
             yield appended(batch, **{name: pa.array(np.array(found, np.uint64).view(np.int64))})
 
@@ -241,18 +242,15 @@ def rooted(codes: DataFrame, distance: int = MAX_BITS) -> DataFrame:
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of each component with all its columns: the smallest id (nulls last), then text.
 
-    Fully repeated rows are copies, of which one stays.
+    Fully repeated rows are copies, of which one stays. Columns may have any name.
     """
-    marked = with_fingerprint(docs, "__fp", text, options.get("size", SHINGLE_WORDS))
+    given, name = numbered(docs)
+    marked = with_fingerprint(given, "fp", name(text), options.get("size", SHINGLE_WORDS))
     marked = stored(marked, "marked")
-    roots = rooted(
-        marked.select(F.col("__fp").alias("fp")).distinct(), options.get("distance", MAX_BITS)
-    ).select(F.col("fp").alias("__fp"), F.col("root").alias("__root"))
-    named = marked.join(roots, "__fp", "left").withColumn(
-        "__root", F.coalesce("__root", "__fp")
-    )
-    order = Window.partitionBy("__root").orderBy(
-        F.col(doc_id).asc_nulls_last(), F.col(text).asc_nulls_last()
+    roots = rooted(marked.select("fp").distinct(), options.get("distance", MAX_BITS))
+    named = marked.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    order = Window.partitionBy("root").orderBy(
+        F.col(name(doc_id)).asc_nulls_last(), F.col(name(text)).asc_nulls_last()
     )
-    best = named.withColumn("__n", F.row_number().over(order)).where("__n = 1")
-    return best.select(*[F.col(f"`{c}`") for c in docs.columns])
+    best = named.withColumn("n", F.row_number().over(order)).where("n = 1")
+    return best.select(*given.columns).toDF(*docs.columns)
