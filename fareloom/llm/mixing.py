@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import WORD, prepare, stored, table
+from fareloom.llm.common import WORD, numbered, prepare, stored, table
 
 LEVELS = ("domain", "lang", "source")
 RANGE_ROWS = 2000  # documents of the range that is sorted, about
@@ -71,14 +71,14 @@ def _order(plan: Plan, epoch, doc_id, text):
     return F.conv(F.substring(F.md5(told), 1, 15), 16, 10).cast("bigint")
 
 
-def _leaves(docs: DataFrame, plan: Plan) -> DataFrame:
+def _leaves(docs: DataFrame, plan: Plan, lang: str, source: str, text: str) -> DataFrame:
     sources = {s: d for d, group in plan.domains.items() for s in group}
-    text = F.coalesce("text", F.lit(""))
+    text = F.coalesce(text, F.lit(""))
     return docs.select(
         "*",
-        _lookup(F.col("source"), sources, plan.other_domain).alias("__domain"),
-        F.coalesce("lang", F.lit("")).alias("__lang"),
-        F.coalesce("source", F.lit("")).alias("__source"),
+        _lookup(F.col(source), sources, plan.other_domain).alias("__domain"),
+        F.coalesce(lang, F.lit("")).alias("__lang"),
+        F.coalesce(source, F.lit("")).alias("__source"),
         F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).cast("bigint").alias("__n"),
     )
 
@@ -126,7 +126,8 @@ def budgets(docs: DataFrame, plan: Plan = PLAN) -> DataFrame:
     empty name; sources that no domain names are in ``other_domain``. Null texts have no
     tokens. No documents, no rows.
     """
-    return _budgets(_leaves(docs.select("lang", "source", "text"), plan), plan)
+    slim = docs.select("lang", "source", "text")
+    return _budgets(_leaves(slim, plan, *slim.columns), plan)
 
 
 def _budgets(leaves: DataFrame, plan: Plan) -> DataFrame:
@@ -167,10 +168,12 @@ def mixed(docs: DataFrame, plan: Plan = PLAN, epoch: str = "epoch", tokens: str
     A document is read in an epoch if the documents before it in that epoch's order leave
     some of the leaf's budget, so the last one may overrun it. Documents without a token
     come with the prefix they stand in. Rows that agree in id and text stand at one place
-    of the order and are read together. Other columns come through unchanged.
+    of the order and are read together. Other columns come through unchanged, whatever
+    their names; given columns called ``epoch`` or ``tokens`` give way to the results.
     """
     prepare(docs.sparkSession)
-    leaves = _leaves(docs, plan)
+    given, name = numbered(docs)
+    leaves = _leaves(given, plan, *[name(c) for c in ("lang", "source", "text")])
     level = ["__domain", "__lang", "__source"]
     counted = stored(_budgets(leaves, plan), "budgets")
     # Whole epochs need no order; the epoch that the budget ends in needs a prefix.
@@ -180,9 +183,12 @@ def mixed(docs: DataFrame, plan: Plan = PLAN, epoch: str = "epoch", tokens: str
         (F.col("n_budget") % F.col("n_tokens")).alias("__rest"),
         F.greatest(F.lit(1), F.ceil(F.col("n_docs") / RANGE_ROWS)).cast("bigint").alias("__ranges"),
     )
-    at = _order(plan, F.col("__whole").cast("string"), F.col("doc_id"), F.coalesce("text", F.lit("")))
+    whole, text = F.col("__whole").cast("string"), F.coalesce(name("text"), F.lit(""))
+    at = _order(plan, whole, F.col(name("doc_id")), text)
+    # The joined tables have a row per leaf and are stored, so Spark knows their size: they
+    # are broadcast while they are small, else a hot leaf is split.
     placed = (
-        leaves.join(F.broadcast(parts), level)  # one row per leaf of the tree
+        leaves.join(parts, level)
         .withColumn("__at", at)
         .withColumn("__range", F.floor(F.col("__at") / F.lit(1 << 60) * F.col("__ranges")))
     )
@@ -202,7 +208,7 @@ def mixed(docs: DataFrame, plan: Plan = PLAN, epoch: str = "epoch", tokens: str
     last = opened.where("__before + __sum >= __rest").drop("__sum")
     inside = (
         placed.select(*level, "__range", "__at", "__n")
-        .join(F.broadcast(last), [*level, "__range"])  # one range per leaf
+        .join(last, [*level, "__range"])
         .groupBy(*level, "__at", "__before", "__rest")
         .agg(F.sum("__n").alias("__n"))
     )
@@ -214,7 +220,7 @@ def mixed(docs: DataFrame, plan: Plan = PLAN, epoch: str = "epoch", tokens: str
         .agg(F.max("__at").alias("__end"))
     )
     ends = stored(ends, "ends")
-    marked = placed.join(F.broadcast(ends), level, "left")
+    marked = placed.join(ends, level, "left")
     reads = F.when(
         (F.col("__rest") > 0) & (F.col("__at") <= F.col("__end")), F.col("__whole") + 1
     ).otherwise(F.col("__whole"))
@@ -223,7 +229,7 @@ def mixed(docs: DataFrame, plan: Plan = PLAN, epoch: str = "epoch", tokens: str
         marked.where(reads > 0)
         .withColumn("__epoch", each)
         .select(
-            *[F.col(f"`{c}`") for c in docs.columns if c not in (epoch, tokens)],
+            *[F.col(name(c)).alias(c) for c in docs.columns if c not in (epoch, tokens)],
             F.col("__epoch").alias(epoch),
             F.col("__n").alias(tokens),
         )
