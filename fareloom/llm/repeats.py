@@ -28,13 +28,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from fareloom.llm.common import partitions, prepare, text_bytes, words
+from fareloom.llm.common import numbered, partitions, prepare, stored, text_bytes, words
 from fareloom.llm.hashing import Words, words_of
 
 WINDOW = 35
 GROUP_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20  # of text, whose hashes meet in one bucket
 PART_BYTES = 1 << 19
+ROW_BYTES = 200  # of a row beside its text, about
+COPIES = 4096  # rows that one row worked on may stand for
 
 MESSAGE = "bucket int, g int, kind int, hashes binary, many binary, marks binary"
 
@@ -260,18 +262,20 @@ def remove_repeats(
     """``docs`` with ``text`` replaced by the kept words, joined by one space, and two counts.
 
     A word goes if a window of ``window`` words covers it whose sequence also starts
-    anywhere else, in the same document or row included; so of fully repeated rows both
+    anywhere else, in the same document or row included; so of fully repeated rows all
     lose their long sequences. Texts that are null, empty or shorter than the window
     keep all their words (null: none, the result is the empty text). Other columns come
-    through unchanged, whatever their names. An empty table gives an empty result.
+    through unchanged, whatever their names; given columns called ``n_words`` or
+    ``n_removed`` give way to the results. An empty table gives an empty result.
     """
     spark = prepare(docs.sparkSession)
-    size = text_bytes(docs, text)
+    given, name = numbered(docs)
+    own, text = text, name(text)
+    size = text_bytes(given, text)
     n, buckets = (max(partitions(spark), -(-size // b)) for b in (GROUP_BYTES, BUCKET_BYTES))
     passes = Repeats(text, window, buckets)
-    # Rows that agree in every column are told apart by nothing, and need not be.
-    key = F.xxhash64(*[_hashable(docs, c) for c in docs.columns])
-    keyed = docs.withColumn("__k", key).withColumn("__g", F.pmod("__k", F.lit(n)).cast("int"))
+    keyed = _few_copies(given, text)
+    keyed = keyed.withColumn("__g", F.pmod("__k", F.lit(n)).cast("int"))
     # Plain functions: Spark tells from the number of arguments whether to pass the key.
     probe, answer = lambda t: passes.probe(t), lambda t: passes.answer(t)
     extend, remove = lambda t, a: passes.extend(t, a), lambda t, a: passes.remove(t, a)
@@ -294,14 +298,49 @@ def remove_repeats(
         .cogroup(hits.unionAll(again).groupBy("g"))
         .applyInArrow(remove, schema)
     )
-    return out.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in (n_words, n_removed)],
+    every = out.select("*", F.explode(F.sequence(F.lit(1), F.col("__m"))).alias("__copy"))
+    return every.select(
+        *[F.col(name(c)).alias(c) for c in docs.columns if c not in (n_words, n_removed)],
         F.col("__n").alias(n_words),
         F.col("__r").alias(n_removed),
     )
 
 
+def _few_copies(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with a hash of the row (``__k``) and the rows that it stands for (``__m``).
+
+    Fully repeated rows meet in one group. Where they would fill one, they are written once
+    for ``COPIES`` of them, twice at least: two such rows see the same repeats as a million
+    do. Rows count as repeated if 128 bits of hash over values and nulls agree.
+    """
+    values = [_hashable(docs, c) for c in docs.columns]
+    nulls = F.array(*[F.col(c).isNull() for c in docs.columns])
+    marked = docs.withColumns({"__k": F.xxhash64(*values), "__l": F.xxhash64(nulls, *values)})
+    size = F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES
+    many = stored(
+        marked.select("__k", "__l", size.alias("__size"))
+        .groupBy("__k", "__l")
+        .agg(F.count("*").alias("__all"), F.sum("__size").alias("__size"))
+        .where(f"__all > 2 and __size > {GROUP_BYTES}")
+        .drop("__size"),
+        "many",
+    )
+    row = F.first(F.struct(*docs.columns)).alias("__row")
+    some = stored(
+        marked.join(many, ["__k", "__l"]).groupBy("__k", "__l", "__all").agg(row), "some"
+    )
+    each = F.least(F.lit(COPIES), F.ceil(F.col("__all") / 2)).alias("__each")
+    parts = F.explode(F.sequence(F.lit(0), F.floor((F.col("__all") - 1) / F.col("__each"))))
+    spread = some.select("*", each).select("*", parts.alias("__at")).select(
+        "__row.*",
+        F.xxhash64("__k", "__at").alias("__k"),
+        F.least("__each", F.col("__all") - F.col("__at") * F.col("__each")).alias("__m"),
+    )
+    others = marked.join(many, ["__k", "__l"], "left_anti").drop("__l")
+    return others.withColumn("__m", F.lit(1).cast("bigint")).unionByName(spread)
+
+
 def _hashable(docs: DataFrame, name: str) -> Column:
     kind = docs.schema[name].dataType.typeName()
     column = F.col(f"`{name}`")
-    return F.to_json(F.struct(column)) if kind in ("map", "variant") else column
+    return F.to_json(F.struct(column)) if kind in ("map", "variant", "array", "struct") else column
