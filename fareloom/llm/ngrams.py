@@ -234,7 +234,8 @@ def judged(
 
     A null text has no words and fails the base rules, as does an empty one. Every row is
     judged alone, so repeated rows and null ids are no special case. Without a model the
-    base rules decide and the probability is null.
+    base rules decide and the probability is null. Given columns of the results' names
+    give way to them; ``prefix`` keeps both.
     """
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)
