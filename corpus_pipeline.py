@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.llm import bpe, mixing, ngrams, repeats, simhash
-from fareloom.llm.common import prepare, stored, table
+from fareloom.llm.common import prepare, stored, table, unused
 
 
 def _as_documents(docs: DataFrame, like: DataFrame) -> DataFrame:
@@ -22,7 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the base rules or the classifier reject go. Labels are those of the table."""
     prepare(spark)
     model = ngrams.fit(docs, ngrams.labels_of(spark, sf_dir))
-    kept = ngrams.judged(docs, model, prefix="__quality_").where("__quality_kept")
+    own = unused(docs, "quality_")
+    kept = ngrams.judged(docs, model, prefix=own).where(f"{own}kept")
     return _as_documents(kept, docs)
 
 
@@ -35,7 +36,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of repeated passages go; texts are the kept words, n_chars follows them."""
     prepare(spark)
-    cut = repeats.remove_repeats(docs, n_words="__n_words", n_removed="__n_removed")
+    own = unused(docs, "removed_")
+    cut = repeats.remove_repeats(docs, n_words=f"{own}from", n_removed=f"{own}words")
     if "n_chars" in docs.columns:
         cut = cut.withColumn(
             "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -46,7 +48,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows the budgets buy; a document read in two epochs is there twice."""
     prepare(spark)
-    rows = mixing.mixed(docs, epoch="__epoch", tokens="__n_tokens")
+    own = unused(docs, "read_")
+    rows = mixing.mixed(docs, epoch=f"{own}epoch", tokens=f"{own}tokens")
     return _as_documents(rows, docs)
 
 
