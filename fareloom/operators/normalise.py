@@ -8,14 +8,16 @@ and a stream.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.functions import money, times
 from fareloom.functions.identity import offer_id_from_key
+from fareloom.functions.staging import evaluated_once
 from fareloom.sources.registry import CARRIERS, lookup
+from fareloom.sources.schemas import FEED_SCHEMAS
 
 LAGOS = "Africa/Lagos"
 LONDON = "Europe/London"
@@ -31,6 +33,8 @@ TERMINAL_CODES = {
 }
 DEFAULT_PLACE = "PHC"
 
+Field = Callable[[str], Column]  # a published column by its name
+
 _NAMES = {c[0]: c[1] for c in CARRIERS}
 _MODES = {c[0]: c[2] for c in CARRIERS}
 
@@ -42,12 +46,13 @@ def place_code(value: Column, codes: Mapping[str, str], unknown: str | None = DE
 
 
 def _canonical(
-    feed: DataFrame, key: str, keep: list[str], *, origin: Column, destination: Column,
+    at: Field, key: str, keep: list[str], *, origin: Column, destination: Column,
     depart: Column, duration: Column, price: Column, seats: Column, url: Column,
     fetched: Column, zone: Column | str = LAGOS,
-) -> DataFrame:
-    present = reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in keep])
-    return feed.filter(present).select(
+) -> tuple[Column, list[Column]]:
+    """Whether a record makes an offer, and the offer's columns."""
+    present = reduce(lambda a, b: a & b, [at(c).isNotNull() for c in keep])
+    return present, [
         offer_id_from_key(F.lit(key), F.lit(_MODES[key]), origin, destination, depart).alias(
             "offer_id"
         ),
@@ -61,125 +66,145 @@ def _canonical(
         seats.try_cast("int").alias("seats_left"),
         url.alias("booking_url"),
         fetched.alias("fetched_at"),
-    )
+    ]
+
+
+def _feed(offer: Callable[..., tuple[Column, list[Column]]]) -> Callable[..., DataFrame]:
+    """A feed's table or stream as offers; ``offer`` itself is kept for tagged messages."""
+
+    @wraps(offer)
+    def normaliser(
+        feed: DataFrame, unknown_place: str | None = DEFAULT_PLACE, **options
+    ) -> DataFrame:
+        present, columns = offer(lambda c: F.col(f"`{c}`"), unknown_place, **options)
+        return feed.filter(present).select(*columns)
+
+    normaliser.offer = offer
+    return normaliser
 
 
-def gigm(feed: DataFrame, unknown_place: str | None = DEFAULT_PLACE) -> DataFrame:
-    when = F.concat(F.col("dep_date"), F.lit(" "), F.col("dep_time"))
+@_feed
+def gigm(at: Field, unknown_place: str | None):
+    when = F.concat(at("dep_date"), F.lit(" "), at("dep_time"))
     return _canonical(
-        feed, "gigm", ["fare", "dep_date"],
-        origin=place_code(F.col("from_city"), CITY_CODES, unknown_place),
-        destination=place_code(F.col("to_city"), CITY_CODES, unknown_place),
+        at, "gigm", ["fare", "dep_date"],
+        origin=place_code(at("from_city"), CITY_CODES, unknown_place),
+        destination=place_code(at("to_city"), CITY_CODES, unknown_place),
         depart=times.parse_local(when, "dd-MM-yyyy HH:mm", LAGOS),
-        duration=F.col("travel_hours") * 60,
-        price=money.digits_as_double(F.col("fare")),
-        seats=money.digits_as_int(F.col("seats")),
-        url=F.col("booking_link"),
-        fetched=F.col("scraped_at"),
+        duration=at("travel_hours") * 60,
+        price=money.digits_as_double(at("fare")),
+        seats=money.digits_as_int(at("seats")),
+        url=at("booking_link"),
+        fetched=at("scraped_at"),
     )
 
 
-def abctransport(feed: DataFrame, unknown_place: str | None = DEFAULT_PLACE) -> DataFrame:
+@_feed
+def abctransport(at: Field, unknown_place: str | None):
     return _canonical(
-        feed, "abctransport", ["amount", "departs"],
-        origin=place_code(F.col("origin_terminal"), TERMINAL_CODES, unknown_place),
-        destination=place_code(F.col("destination_terminal"), TERMINAL_CODES, unknown_place),
-        depart=times.parse_local(F.col("departs"), "yyyy-MM-dd HH:mm:ss", LAGOS),
-        duration=F.col("journey_minutes"),
-        price=F.col("amount"),
-        seats=F.col("seats_available"),
-        url=F.col("url"),
-        fetched=F.col("ts"),
+        at, "abctransport", ["amount", "departs"],
+        origin=place_code(at("origin_terminal"), TERMINAL_CODES, unknown_place),
+        destination=place_code(at("destination_terminal"), TERMINAL_CODES, unknown_place),
+        depart=times.parse_local(at("departs"), "yyyy-MM-dd HH:mm:ss", LAGOS),
+        duration=at("journey_minutes"),
+        price=at("amount"),
+        seats=at("seats_available"),
+        url=at("url"),
+        fetched=at("ts"),
     )
 
 
-def crosscountry(feed: DataFrame, unknown_place: str | None = DEFAULT_PLACE) -> DataFrame:
+@_feed
+def crosscountry(at: Field, unknown_place: str | None):
     return _canonical(
-        feed, "crosscountry", ["price_kobo", "epoch_departure"],
-        origin=place_code(F.col("start"), CITY_CODES, unknown_place),
-        destination=place_code(F.col("end"), CITY_CODES, unknown_place),
-        depart=F.timestamp_seconds("epoch_departure"),
-        duration=F.col("duration_secs") / 60,
-        price=F.col("price_kobo").cast("double") / 100.0,
-        seats=F.col("seats"),
-        url=F.col("deeplink"),
-        fetched=times.render_utc(F.timestamp_seconds("captured_at_epoch")),
+        at, "crosscountry", ["price_kobo", "epoch_departure"],
+        origin=place_code(at("start"), CITY_CODES, unknown_place),
+        destination=place_code(at("end"), CITY_CODES, unknown_place),
+        depart=F.timestamp_seconds(at("epoch_departure")),
+        duration=at("duration_secs") / 60,
+        price=at("price_kobo").cast("double") / 100.0,
+        seats=at("seats"),
+        url=at("deeplink"),
+        fetched=times.render_utc(F.timestamp_seconds(at("captured_at_epoch"))),
     )
 
 
-def chisco(feed: DataFrame, unknown_place: str | None = DEFAULT_PLACE) -> DataFrame:
+@_feed
+def chisco(at: Field, unknown_place: str | None):
     return _canonical(
-        feed, "chisco", ["cost", "when"],
-        origin=place_code(F.col("board"), CITY_CODES, unknown_place),
-        destination=place_code(F.col("alight"), CITY_CODES, unknown_place),
-        depart=times.parse_local(F.col("when"), "dd/MM/yyyy HH:mm", LAGOS),
-        duration=F.col("hours") * 60,
-        price=money.digits_as_double(F.col("cost")),
-        seats=F.col("open_seats"),
-        url=F.col("link"),
-        fetched=F.col("pulled"),
+        at, "chisco", ["cost", "when"],
+        origin=place_code(at("board"), CITY_CODES, unknown_place),
+        destination=place_code(at("alight"), CITY_CODES, unknown_place),
+        depart=times.parse_local(at("when"), "dd/MM/yyyy HH:mm", LAGOS),
+        duration=at("hours") * 60,
+        price=money.digits_as_double(at("cost")),
+        seats=at("open_seats"),
+        url=at("link"),
+        fetched=at("pulled"),
     )
 
 
-def airpeace(feed: DataFrame, unknown_place: str | None = DEFAULT_PLACE) -> DataFrame:
+@_feed
+def airpeace(at: Field, unknown_place: str | None):
     return _canonical(
-        feed, "airpeace", ["total_fare", "std"],
-        origin=F.col("dep_airport"),
-        destination=F.col("arr_airport"),
-        depart=times.instant(F.col("std")),
-        duration=F.col("duration_minutes"),
-        price=F.col("total_fare.amount"),
-        seats=F.col("seats_remaining"),
-        url=F.col("deep_link"),
-        fetched=F.col("fetched"),
+        at, "airpeace", ["total_fare", "std"],
+        origin=at("dep_airport"),
+        destination=at("arr_airport"),
+        depart=times.instant(at("std")),
+        duration=at("duration_minutes"),
+        price=at("total_fare")["amount"],
+        seats=at("seats_remaining"),
+        url=at("deep_link"),
+        fetched=at("fetched"),
     )
 
 
-def ibomair(feed: DataFrame, unknown_place: str | None = DEFAULT_PLACE) -> DataFrame:
+@_feed
+def ibomair(at: Field, unknown_place: str | None):
     return _canonical(
-        feed, "ibomair", ["fare_ngn", "departure_utc"],
-        origin=F.col("from"),
-        destination=F.col("to"),
-        depart=times.parse_local(F.col("departure_utc"), "yyyy-MM-dd'T'HH:mm:ss'Z'", "UTC"),
-        duration=F.col("block_minutes"),
-        price=F.col("fare_ngn"),
-        seats=F.col("seats"),
-        url=F.col("booking_url"),
-        fetched=F.col("as_of"),
+        at, "ibomair", ["fare_ngn", "departure_utc"],
+        origin=at("from"),
+        destination=at("to"),
+        depart=times.parse_local(at("departure_utc"), "yyyy-MM-dd'T'HH:mm:ss'Z'", "UTC"),
+        duration=at("block_minutes"),
+        price=at("fare_ngn"),
+        seats=at("seats"),
+        url=at("booking_url"),
+        fetched=at("as_of"),
     )
 
 
-def arik(feed: DataFrame, unknown_place: str | None = DEFAULT_PLACE) -> DataFrame:
-    midnight = times.parse_local(F.col("flight_date"), "yyyy-MM-dd", LAGOS)
-    minutes = F.col("dep_minutes_after_midnight").cast("bigint")
+@_feed
+def arik(at: Field, unknown_place: str | None):
+    midnight = times.parse_local(at("flight_date"), "yyyy-MM-dd", LAGOS)
+    minutes = at("dep_minutes_after_midnight").cast("bigint")
     return _canonical(
-        feed, "arik", ["fare_amount", "flight_date"],
-        origin=F.col("board_point"),
-        destination=F.col("off_point"),
+        at, "arik", ["fare_amount", "flight_date"],
+        origin=at("board_point"),
+        destination=at("off_point"),
         depart=F.timestamp_seconds(F.unix_seconds(midnight) + minutes * 60),
-        duration=F.col("elapsed_minutes"),
-        price=F.col("fare_amount"),
-        seats=F.col("avail"),
-        url=F.col("url"),
-        fetched=F.col("extracted_at"),
+        duration=at("elapsed_minutes"),
+        price=at("fare_amount"),
+        seats=at("avail"),
+        url=at("url"),
+        fetched=at("extracted_at"),
     )
 
 
-def britishairways(
-    feed: DataFrame, unknown_place: str | None = DEFAULT_PLACE, rate: float = money.GBP_NGN
-) -> DataFrame:
+@_feed
+def britishairways(at: Field, unknown_place: str | None, rate: float = money.GBP_NGN):
     """The one feed in pounds, and the one with departures outside Lagos time."""
     return _canonical(
-        feed, "britishairways", ["totalPrice", "departureDateTime"],
-        origin=F.col("origin"),
-        destination=F.col("destination"),
-        depart=times.instant(F.col("departureDateTime")),
-        zone=F.when(F.col("origin") == "LHR", LONDON).otherwise(LAGOS),
-        duration=F.col("journeyDurationMinutes"),
-        price=F.col("totalPrice") * F.lit(float(rate)),
-        seats=F.col("availableSeats"),
-        url=F.col("bookingUrl"),
-        fetched=F.col("timestamp"),
+        at, "britishairways", ["totalPrice", "departureDateTime"],
+        origin=at("origin"),
+        destination=at("destination"),
+        depart=times.instant(at("departureDateTime")),
+        zone=F.when(at("origin") == "LHR", LONDON).otherwise(LAGOS),
+        duration=at("journeyDurationMinutes"),
+        price=at("totalPrice") * F.lit(float(rate)),
+        seats=at("availableSeats"),
+        url=at("bookingUrl"),
+        fetched=at("timestamp"),
     )
 
 
@@ -197,6 +222,34 @@ def unify(feeds: Mapping[str, DataFrame], unknown_place: str | None = DEFAULT_PL
     return reduce(DataFrame.unionByName, parts)
 
 
+def unify_messages(
+    messages: DataFrame,
+    unknown_place: str | None = DEFAULT_PLACE,
+    feed: str = "feed",
+    value: str = "value",
+) -> DataFrame:
+    """Messages of all feeds in one table or stream, each with its feed's name, as offers.
+
+    The source is read once, whatever the number of feeds: a message is parsed by its own
+    feed's schema alone. Bodies are text or bytes. Messages of an unknown or null feed, and
+    those that ``unify`` would leave out, make no offer.
+    """
+    tag, body = F.col(feed), F.col(value).cast("string")
+    parsed = evaluated_once(
+        messages.select(tag.alias("feed"), body.alias("body")),
+        {
+            key: F.when(F.col("feed") == key, F.from_json("body", FEED_SCHEMAS[key]))
+            for key in NORMALISERS
+        },
+    )
+    offers = []
+    for key, normaliser in NORMALISERS.items():
+        present, columns = normaliser.offer(F.col(key).getField, unknown_place)
+        offers.append(F.when((F.col("feed") == key) & present, F.struct(*columns)))
+    made = evaluated_once(parsed, {"offer": F.coalesce(*offers)})
+    return made.where("offer is not null").select("offer.*")
+
+
 def coerce(records: DataFrame) -> DataFrame:
     """String-typed offers, as a hash store returns them, with their types back."""
     return records.withColumns(

@@ -68,7 +68,7 @@ for _key in KEYS:
 
 @question("offers_union", S.with_views(S.OBS) + _ALL_FEEDS)
 def offers_union(v):
-    return normalise.unify(v.feeds())
+    return normalise.unify_messages(v.messages(v.spread_obs()))
 
 
 @question(
@@ -76,11 +76,7 @@ def offers_union(v):
     S.with_views(S.OBS) + "SELECT carrier_key AS feed, count(*) AS n_messages FROM obs GROUP BY 1",
 )
 def feed_volume(v):
-    parts = [feed.select(F.lit(key).alias("feed")) for key, feed in v.feeds().items()]
-    messages = parts[0]
-    for part in parts[1:]:
-        messages = messages.unionByName(part)
-    return ops.feed_volume(messages)
+    return ops.feed_volume(v.messages(v.obs))
 
 
 # The column in which each road feed names the place of departure.
@@ -125,9 +121,8 @@ def place_map(v):
 
 
 def _stream_feeds(v: Views) -> DataFrame:
-    """The events table read as a stream and published as eight feeds."""
-    obs = v.observe(v.stream("events"))
-    return flows.union_feeds({key: v.encode(obs, key) for key in KEYS})
+    """The events table read as a stream of the messages of eight feeds."""
+    return flows.union_messages(v.messages(v.observe(v.stream("events"))))
 
 
 @question("stream_union", S.with_views(S.OBS) + _ALL_FEEDS)
@@ -553,7 +548,7 @@ def contract_check(v):
 )
 def quarantine(v):
     """All feeds normalised without a default place; the refused rows, by reason."""
-    checked = contract.check_offers(normalise.unify(v.feeds(), unknown_place=None))
+    checked = contract.check_offers(normalise.unify_messages(v.messages(v.spread_obs()), None))
     _, bad = contract.split_valid(checked)
     return bad.groupBy(F.array_join("contract_errors", "|").alias("reason")).agg(
         F.count("*").alias("n")

@@ -168,10 +168,21 @@ class Views:
 
     def encode(self, obs: DataFrame, key: str) -> DataFrame:
         """Observations of one carrier as that carrier would publish them."""
-        return ENCODERS[key](obs.filter(F.col("carrier_key") == key))
-
-    def feeds(self) -> dict[str, DataFrame]:
-        return {key: self.encode(self.obs, key) for key in KEYS}
+        return obs.filter(F.col("carrier_key") == key).select(*ENCODERS[key]())
+
+    def spread_obs(self) -> DataFrame:
+        """The observations over all cores: a file of one row group is one task's else."""
+        events, cores = self.table("events"), self.spark.sparkContext.defaultParallelism
+        few = events.rdd.getNumPartitions() < cores
+        return self.observe(events.repartition(cores) if few else events)
+
+    def messages(self, obs: DataFrame) -> DataFrame:
+        """Observations of all carriers as JSON messages with the name of their feed."""
+        bodies = [
+            F.when(F.col("carrier_key") == key, F.to_json(F.struct(*columns())))
+            for key, columns in ENCODERS.items()
+        ]
+        return obs.select(F.col("carrier_key").alias("feed"), F.coalesce(*bodies).alias("value"))
 
     # -------------------------------------------------------------- listing --
 
@@ -442,8 +453,8 @@ def _hours() -> Column:
     return F.round(F.col("duration_min").cast("double") / 60, 1)
 
 
-ENCODERS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "gigm": lambda o: o.select(
+ENCODERS: dict[str, Callable[[], list[Column | str]]] = {
+    "gigm": lambda: [
         F.lit("G.I.G.M").alias("operator"), _city("origin").alias("from_city"),
         _city("destination").alias("to_city"), _lagos("dd-MM-yyyy").alias("dep_date"),
         _lagos("HH:mm").alias("dep_time"),
@@ -451,8 +462,8 @@ ENCODERS: dict[str, Callable[[DataFrame], DataFrame]] = {
         F.concat(F.col("seats_left").cast("string"), F.lit(" left")).alias("seats"),
         _hours().alias("travel_hours"), F.col("booking_url").alias("booking_link"),
         _fetched().alias("scraped_at"),
-    ),
-    "abctransport": lambda o: o.select(
+    ],
+    "abctransport": lambda: [
         F.lit("ABC Transport").alias("company"),
         _named("origin", {v: k for k, v in TERMINAL_CODES.items()}).alias("origin_terminal"),
         _named("destination", {v: k for k, v in TERMINAL_CODES.items()}).alias(
@@ -463,8 +474,8 @@ ENCODERS: dict[str, Callable[[DataFrame], DataFrame]] = {
         F.col("seats_left").alias("seats_available"),
         F.col("duration_min").alias("journey_minutes"), F.col("booking_url").alias("url"),
         _fetched().alias("ts"),
-    ),
-    "crosscountry": lambda o: o.select(
+    ],
+    "crosscountry": lambda: [
         F.lit("CC").alias("carrier_code"), _city("origin").alias("start"),
         _city("destination").alias("end"),
         F.unix_seconds("depart_time").alias("epoch_departure"),
@@ -472,15 +483,15 @@ ENCODERS: dict[str, Callable[[DataFrame], DataFrame]] = {
         F.col("seats_left").alias("seats"), (F.col("duration_min") * 60).alias("duration_secs"),
         F.col("booking_url").alias("deeplink"),
         F.unix_seconds("fetched_at").alias("captured_at_epoch"),
-    ),
-    "chisco": lambda o: o.select(
+    ],
+    "chisco": lambda: [
         F.lit("CHISCO").alias("line"), _city("origin").alias("board"),
         _city("destination").alias("alight"), _lagos("dd/MM/yyyy HH:mm").alias("when"),
         _dropped(F.format_number("price_ngn", 2)).alias("cost"),
         F.col("seats_left").alias("open_seats"), _hours().alias("hours"),
         F.col("booking_url").alias("link"), _fetched().alias("pulled"),
-    ),
-    "airpeace": lambda o: o.select(
+    ],
+    "airpeace": lambda: [
         F.lit("Air Peace").alias("airline"), F.lit("P47021").alias("flight_number"),
         F.col("origin").alias("dep_airport"), F.col("destination").alias("arr_airport"),
         times.render_local(F.col("depart_time"), "Africa/Lagos").alias("std"),
@@ -491,16 +502,16 @@ ENCODERS: dict[str, Callable[[DataFrame], DataFrame]] = {
         F.col("seats_left").alias("seats_remaining"),
         F.col("duration_min").alias("duration_minutes"),
         F.col("booking_url").alias("deep_link"), _fetched().alias("fetched"),
-    ),
-    "ibomair": lambda o: o.select(
+    ],
+    "ibomair": lambda: [
         F.lit("QI").alias("carrier"), F.col("origin").alias("from"),
         F.col("destination").alias("to"),
         times.render_utc(F.col("depart_time")).alias("departure_utc"),
         _dropped(F.col("price_ngn")).alias("fare_ngn"), F.col("seats_left").alias("seats"),
         F.col("duration_min").alias("block_minutes"), "booking_url",
         _fetched().alias("as_of"),
-    ),
-    "arik": lambda o: o.select(
+    ],
+    "arik": lambda: [
         F.lit("W3").alias("op_carrier"), F.col("origin").alias("board_point"),
         F.col("destination").alias("off_point"), _lagos("yyyy-MM-dd").alias("flight_date"),
         (_lagos("HH").cast("int") * 60 + _lagos("mm").cast("int")).alias(
@@ -509,8 +520,8 @@ ENCODERS: dict[str, Callable[[DataFrame], DataFrame]] = {
         _dropped(F.col("price_ngn")).alias("fare_amount"), F.lit("NGN").alias("fare_currency"),
         F.col("seats_left").alias("avail"), F.col("duration_min").alias("elapsed_minutes"),
         F.col("booking_url").alias("url"), _fetched().alias("extracted_at"),
-    ),
-    "britishairways": lambda o: o.select(
+    ],
+    "britishairways": lambda: [
         F.lit("BA").alias("marketingCarrier"), "origin", "destination",
         times.render_departure(F.col("depart_time"), F.col("origin")).alias("departureDateTime"),
         F.lit("M").alias("cabinClass"),
@@ -518,5 +529,5 @@ ENCODERS: dict[str, Callable[[DataFrame], DataFrame]] = {
         F.lit("GBP").alias("currencyCode"), F.col("seats_left").alias("availableSeats"),
         F.col("duration_min").alias("journeyDurationMinutes"),
         F.col("booking_url").alias("bookingUrl"), _fetched().alias("timestamp"),
-    ),
+    ],
 }

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fareloom.functions import times
 from fareloom.operators import history as hist
 from fareloom.operators.contract import history_problems
-from fareloom.operators.normalise import to_history, unify
+from fareloom.operators.normalise import to_history, unify, unify_messages
 from fareloom.sources import tables
 from fareloom.sources.schemas import OFFER, OFFER_COLUMNS
 
@@ -25,6 +25,11 @@ def union_feeds(feeds: Mapping[str, DataFrame], unknown_place: str | None = "PHC
     return unify(feeds, unknown_place)
 
 
+def union_messages(messages: DataFrame, unknown_place: str | None = "PHC") -> DataFrame:
+    """The same from one stream of messages that name their feed: the source is read once."""
+    return unify_messages(messages, unknown_place)
+
+
 def running_latest(offers: DataFrame) -> DataFrame:
     """Latest offer per departure as a running aggregate (update or complete mode)."""
     observed = times.instant(F.col("fetched_at")).alias("at")

@@ -3,8 +3,10 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from fareloom.operators import contract, normalise
+from fareloom.plans.views import KEYS, Views
 from fareloom.sources.feeds import decode, read_json, topic
 
 FETCHED = "2026-09-13T12:00:00Z"
@@ -251,3 +253,22 @@ def test_history_form_has_instants_and_two_decimals(offers):
     row = normalise.to_history(offers({"price_ngn": 1234.567})).first()
     assert str(row["price_ngn"]) == "1234.57"
     assert row["depart_time"].isoformat() == "2026-09-14T06:00:00"
+
+
+def test_tagged_messages_make_the_offers_of_their_feeds(spark):
+    """One pass over all feeds gives what the feeds give one by one; the rest makes no offer."""
+    views = Views(spark, "/root/testdata/sf0.001")
+    messages = views.messages(views.obs).cache()
+    odd = spark.createDataFrame(
+        [("gigm", "{not json"), ("gigm", None), (None, "{}"), ("elsewhere", "{}"),
+         ("arik", '{"operator": "G.I.G.M", "fare": "NGN 1"}')], "feed string, value string"
+    )
+    found = normalise.unify_messages(messages.unionByName(odd), None)
+    single = normalise.unify({k: views.encode(views.obs, k) for k in KEYS}, None)
+    assert found.schema.simpleString() == single.schema.simpleString()
+    assert found.exceptAll(single).count() == 0 == single.exceptAll(found).count()
+    raw = messages.select("feed", F.col("value").cast("binary").alias("value"))
+    assert normalise.unify_messages(raw, None).count() == single.count() > 0
+    plan = normalise.unify_messages(views.messages(views.obs))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    messages.unpersist()
