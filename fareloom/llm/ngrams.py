@@ -189,6 +189,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Model
                 names=["doc_id", "label", "at", "value"],
             )
 
+    # A row's lists are a megabyte of Python objects, so few of them at a time.
+    spark.conf.set("spark.sql.execution.python.udf.maxRecordsPerBatch", "8")
     size = len(KINDS) << BITS
     vector = F.udf(lambda at, value: Vectors.sparse(size, at, value), VectorUDT())
     held = stored(
