@@ -15,13 +15,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from fareloom.llm.common import appended, pieces, prepare, stored, words
+from fareloom.llm.common import appended, pieces, prepare, words
 from fareloom.llm.hashing import words_of
+from fareloom.session import new_path
 
 BITS = 15
 KINDS = ("word 1", "word 2", "char 2", "char 3", "char 4")
@@ -176,43 +178,45 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Model
     )
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
+    size = len(KINDS) << BITS
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", PART_BYTES):
             found = [features(words(t)) for t in batch.column("text").to_pylist()]
+            sparse = [
+                pa.array(np.zeros(len(found), np.int8)),  # 0 marks a sparse vector
+                pa.array(np.full(len(found), size, np.int32)),
+                pa.array([at.astype(np.int32) for at, _ in found], pa.list_(pa.int32())),
+                pa.array([value for _, value in found], pa.list_(pa.float64())),
+            ]
+            vectors = pa.StructArray.from_arrays(sparse, VectorUDT.sqlType().names)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("label"),
-                    pa.array([at for at, _ in found], pa.list_(pa.int64())),
-                    pa.array([value for _, value in found], pa.list_(pa.float64())),
-                ],
-                names=["doc_id", "label", "at", "value"],
+                [batch.column("label"), batch.column("held"), vectors],
+                names=["label", "held", "features"],
             )
 
-    # A row's lists are a megabyte of Python objects, so few of them at a time.
-    spark.conf.set("spark.sql.execution.python.udf.maxRecordsPerBatch", "8")
-    size = len(KINDS) << BITS
-    vector = F.udf(lambda at, value: Vectors.sparse(size, at, value), VectorUDT())
-    held = stored(
-        sample.mapInArrow(run, "doc_id bigint, label double, at array<long>, value array<double>"),
-        "grams",
+    # Vectors are written as the struct they are stored as and read back as vectors, so that
+    # everything after the n-grams stays in the JVM.
+    sample = sample.select(
+        "text", "label", (F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(4)) == 0).alias("held")
     )
-    folded = held.select(
-        "label", vector("at", "value").alias("features"),
-        (F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(4)) == 0).alias("held"),
-    )
+    kinds = [StructField("label", DoubleType()), StructField("held", BooleanType())]
+    path = new_path(spark, "grams")
+    sample.mapInArrow(
+        run, StructType([*kinds, StructField("features", VectorUDT.sqlType())])
+    ).write.parquet(path)
+    folded = spark.read.schema(
+        StructType([*kinds, StructField("features", VectorUDT())])
+    ).parquet(path)
     train, rest = folded.where("not held"), folded.where("held")
     if min(x.select("label").distinct().count() for x in (train, rest)) < 2:
         return None
     learner = LogisticRegression(maxIter=40, regParam=2e-4, standardization=False)
     fitted = learner.fit(train.repartition(24))  # small parts: less memory in a task
     weights = fitted.coefficients.toArray()
-    margin = F.udf(lambda x: float(x.dot(weights)), "double")
-    one = F.udf(lambda m: Vectors.dense([m]), VectorUDT())
+    margin = vector_to_array("rawPrediction")[1] - F.lit(float(fitted.intercept))
     line = LogisticRegression(maxIter=100, regParam=1e-3).fit(
-        rest.select("label", margin("features").alias("m")).select(
-            "label", one("m").alias("features")
-        )
+        fitted.transform(rest).select("label", array_to_vector(F.array(margin)).alias("features"))
     )
     return Model(
         weights.reshape(len(KINDS), -1).astype(np.float32),
