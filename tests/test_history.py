@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import re
 
 import numpy as np
 import pandas as pd
@@ -207,6 +208,40 @@ def test_dense_and_usual_keys_meet(spark):
     assert sorted(near, key=repr) == sorted(far, key=repr) and len(near) == len(frame)
 
 
+def _rows_moved_by_key_alone(df):
+    """Joins that bring all rows of one key to one task."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"SortMergeJoin(?:\(.*?\))? \[\w+#\d+L?\], \[\w+#\d+L?\]", plan)
+
+
+def test_no_join_gathers_a_hot_key(spark, tmp_path, request):
+    """The rows of one key holding nearly all stay where they are until spans are known."""
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual))
+    # As if the table were large: it is beyond the size that is sent to all tasks.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5000")
+    path = str(tmp_path / "hot")
+    spark.range(4000).selectExpr(
+        "if(id % 50 = 0, null, 'all') AS k", "timestamp_seconds(id * 60) AS t", "double(id) AS p"
+    ).write.parquet(path)
+    df = spark.read.parquet(path)
+    specs = [asof.Lookup("later", 6 * times.HOUR, times.DAY, "forward")]
+    found = asof.self_lookups(df, "k", "t", "p", specs, 100)
+    assert not _rows_moved_by_key_alone(found)
+    probes = df.select("k", F.unix_micros("t").alias("a"), "p")
+    near = asof.neighbours(
+        probes, df.withColumn("b", F.unix_micros("t")), "k", "a", "b", ["p"], ("prev", "next"), 100
+    )
+    assert not _rows_moved_by_key_alone(near)
+    expected = {
+        i: next((j for j in range(i + 360, 4000) if j % 50), None) if i % 50 else None
+        for i in range(4000)
+    }
+    assert {int(r.p): r.later and int(r.later) for r in found.collect()} == expected
+    for r in near.collect():
+        assert (r.prev and r.prev.p) == (r.next and r.next.p) == (r.p if r.k else None)
+
+
 def test_nulls_stay_and_ties_have_one_answer(spark):
     rows = [
         ("a", "2026-09-01 00:00:00", 1.0), ("a", "2026-09-02 00:00:00", 12.0),
