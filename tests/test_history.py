@@ -242,6 +242,20 @@ def test_no_join_gathers_a_hot_key(spark, tmp_path, request):
         assert (r.prev and r.prev.p) == (r.next and r.next.p) == (r.p if r.k else None)
 
 
+@pytest.mark.parametrize("make", [features.price_deltas, features.build_features])
+def test_larger_tables_get_more_tasks_not_larger_ones(spark, seen, monkeypatch, make):
+    """Where few shuffle partitions would give a task a share of the table, tasks are added."""
+    monkeypatch.setattr(asof, "TASK_EVENTS", 4000, raising=False)
+    rows = seen(*[(f"o{i % 97}", f"2026-09-{1 + i // 600:02d} {i % 24:02d}:{i % 60:02d}:00", i + 1)
+                  for i in range(12_000)])
+    out = make(rows)
+    used = [F.count("price_delta_6h").alias("n"), F.max("price_delta_24h"), F.max("price_delta_12h")]
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(*used).collect()]
+    assert len(sizes) > 4 and max(sizes) < 4000
+    monkeypatch.setattr(asof, "TASK_EVENTS", 10**9, raising=False)
+    assert sorted(out.collect()) == sorted(make(rows).collect())
+
+
 def test_nulls_stay_and_ties_have_one_answer(spark):
     rows = [
         ("a", "2026-09-01 00:00:00", 1.0), ("a", "2026-09-02 00:00:00", 12.0),
