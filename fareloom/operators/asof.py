@@ -264,9 +264,9 @@ def self_lookups(
 ) -> DataFrame:
     """Add one column per lookup: another observation's ``value`` of the same key.
 
-    Every row comes back once, with nulls where its key or time is null. A row becomes one
-    event that brings all its columns and a thin probe per lookup. A given column may not
-    have a lookup's name.
+    Every row comes back once, with nulls where its key or time is null. After the shuffle a
+    row becomes one event that brings all its columns and a thin probe per lookup. A given
+    column may not have a lookup's name.
     """
     rows, dense = _load(
         df.select(F.col(key).alias("_key"), F.unix_micros(at).alias("_at")), span_rows
@@ -294,29 +294,34 @@ def _sides(lookups: Sequence[Lookup]) -> list[str]:
 def _lookups_in_one_line(
     df: DataFrame, key: str, at: str, value: str, lookups: Sequence[Lookup], events: int
 ) -> DataFrame:
-    own = F.unix_micros(at)
     lost = F.col(key).isNull() | F.col(at).isNull()
-    seen = F.struct(own.alias("at"), F.col(value).alias("v"))
-    row_type = df.schema.simpleString()
-    seen_type = df.select(seen.alias("s")).schema["s"].dataType
+    group = ["_key", "_lost"]
+    # Rows travel once, as columns, so that unused ones stay behind; a key is not sent twice.
+    sent = {c: "_key" if c == key else f"_{i}_of_row" for i, c in enumerate(df.columns)}
+    kept = [n for n in sent.values() if n != "_key"]
+    rows = df.select(
+        F.col(key).alias("_key"),
+        F.when(lost, F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))).alias("_lost"),
+        F.unix_micros(at).alias("_own"),
+        F.col(value).alias("_v"),
+        *[F.col(c).alias(n) for c, n in sent.items() if n != "_key"],
+    )
+    in_line, own = F.col("_lost").isNull(), F.col("_own")
+    seen = F.struct(own.alias("at"), F.col("_v").alias("v"))
+    nothing = F.lit(None).cast(rows.select(seen.alias("seen")).schema["seen"].dataType)
 
-    def event(number: int, by: int, row: Column, seen_at: Column) -> Column:
+    def event(number: int, by: int, seen: Column) -> Column:
         return F.struct(
-            F.lit(number).alias("_i"), (own + F.lit(by)).alias("_at"),
-            row.alias("_row"), seen_at.alias("_seen"),
+            F.lit(number).alias("_i"), (own + F.lit(by)).alias("_at"), seen.alias("_seen")
         )
 
-    no_row, nothing = F.lit(None).cast(row_type), F.lit(None).cast(seen_type)
-    itself = event(-1, 0, F.struct(*df.columns), F.when(~lost, seen))
-    asked = [event(i, s.offset_us, no_row, nothing) for i, s in enumerate(lookups)]
-    line = df.select(
-        F.col(key).alias("_key"),
-        F.when(lost, F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))).alias("_lost"),
-        own.alias("_own"),
-        F.inline(F.when(lost, F.array(itself)).otherwise(F.array(itself, *asked))),
-    )
-    group = ["_key", "_lost"]
-    line = _dealt(line, events, *group)
+    itself = event(-1, 0, F.when(in_line, seen))
+    asked = [event(i, s.offset_us, nothing) for i, s in enumerate(lookups)]
+    # Events are made where the line is sorted; of a row's only the first keeps its columns.
+    line = _dealt(rows, events, *group).select(
+        *group, "_own", *kept,
+        F.inline(F.when(in_line, F.array(itself, *asked)).otherwise(F.array(itself))),
+    ).withColumns({n: F.when(F.col("_i") == -1, F.col(n)) for n in kept})
     sides = _sides(lookups)
     found = line.withColumns({d: _carry(line, d, group) for d in sides})
     # Every event of one key and moment: its probes' answers, to the rows of that moment.
@@ -328,7 +333,7 @@ def _lookups_in_one_line(
     return (
         found.withColumns(answers)
         .filter(F.col("_i") == -1)
-        .select("_row.*", *[s.name for s in lookups])
+        .select(*[F.col(n).alias(c) for c, n in sent.items()], *[s.name for s in lookups])
     )
 
 

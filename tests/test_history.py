@@ -256,6 +256,29 @@ def test_larger_tables_get_more_tasks_not_larger_ones(spark, seen, monkeypatch,
     assert sorted(out.collect()) == sorted(make(rows).collect())
 
 
+def test_rows_are_sent_once_without_unused_columns(spark, tmp_path):
+    """The shuffle of a line carries a row, not an event for every lookup, and no unused column."""
+    path = str(tmp_path / "wide")
+    spark.range(400).selectExpr(
+        "if(id % 9 = 0, null, concat('o', id % 7)) AS k", "timestamp_seconds(id * 60) AS t",
+        "double(id) AS p", "repeat('x', 90) AS _key", "id AS _i", "id AS _3_of_row",
+    ).write.parquet(path)
+    df = spark.read.parquet(path)
+    specs = [asof.Lookup(f"in_{h}h", h * times.HOUR, times.HOUR // 60, "nearest") for h in (1, 2, 3)]
+    found = asof.self_lookups(df, "k", "t", "p", specs)
+    assert found.columns == [*df.columns, "in_1h", "in_2h", "in_3h"]
+    thin = found.select("k", "p", "in_1h", "in_3h")
+    plan = thin._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("Exchange hashpartitioning(_key")
+    assert " AS _2_of_row#" in plan and " AS _4_of_row#" not in plan
+    rows = {r.p: r for r in found.collect()}
+    assert len(rows) == 400
+    for i, r in rows.items():
+        assert (r["_key"], r["_i"], r["_3_of_row"]) == ("x" * 90, i, i)
+        near = [j for j in (i + 59, i + 60, i + 61) if r.k and j < 400 and j % 9 and j % 7 == i % 7]
+        assert r.in_1h == min(near, key=lambda j: abs(j - i - 60), default=None)
+
+
 def test_nulls_stay_and_ties_have_one_answer(spark):
     rows = [
         ("a", "2026-09-01 00:00:00", 1.0), ("a", "2026-09-02 00:00:00", 12.0),
