@@ -279,6 +279,22 @@ def test_rows_are_sent_once_without_unused_columns(spark, tmp_path):
         assert r.in_1h == min(near, key=lambda j: abs(j - i - 60), default=None)
 
 
+@pytest.mark.parametrize("column", ["price_delta_6h", "future_price"])
+def test_a_move_is_sent_once(seen, column):
+    """What median_move keeps of the features is made after the one shuffle of the history."""
+    rows = seen(*[(f"o{i % 3}", f"2026-09-{1 + i // 4:02d} {i % 4 * 6:02d}:00:00", 100 + i % 7)
+                  for i in range(60)])
+    moves = features.build_features(rows).select(column)
+    plan = moves._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("Exchange hashpartitioning(_key")
+    assert plan.count("Exchange") == 1
+    known = features.build_features(rows)
+    price = {r.fetched_at: r.price_ngn for r in rows.collect() if r.offer_id == "o0"}
+    for r in known.filter("offer_id = 'o0'").collect():
+        later = [t for t in price if 86400 <= (t - r.fetched_at).total_seconds() <= 129600]
+        assert r.future_price == price[min(later)]
+
+
 def test_nulls_stay_and_ties_have_one_answer(spark):
     rows = [
         ("a", "2026-09-01 00:00:00", 1.0), ("a", "2026-09-02 00:00:00", 12.0),
