@@ -556,6 +556,42 @@ def test_growing_in_stages_is_growing_at_once(spark):
     rows.unpersist()
 
 
+def test_a_stage_is_not_fitted_again_to_be_cut(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    n = 900
+    delta = rng.normal(size=n)
+    frame = pd.DataFrame({
+        "days_to_departure": rng.random(n), "hour_of_day": rng.integers(0, 24, n),
+        "day_of_week": rng.integers(0, 7, n), "seats_left": rng.integers(0, 40, n),
+        "price_delta_6h": delta, "price_delta_12h": rng.normal(size=n),
+        "price_delta_24h": rng.normal(size=n), "carrier": rng.choice(["a", "b"], n),
+        "route": rng.choice(["x", "y"], n),
+        "will_rise": (delta + rng.normal(size=n) > 0).astype(int),
+    })
+    rows = spark.createDataFrame(frame).repartition(2).persist()
+    learnt, held_out = rows.filter("hour_of_day < 18"), rows.filter("hour_of_day >= 18")
+    params = {"maxDepth": 3, "stepSize": 0.4, "minInstancesPerNode": 5}
+    fitted, classifier = [], training.classifier
+
+    def counted(params, rounds, bins=64):
+        fitted.append(rounds)
+        return classifier(params, rounds, bins)
+
+    monkeypatch.setattr(training, "classifier", counted)
+    grown = training.grow(learnt, held_out, params, 40, 4, stage=2)
+    # Each stage once, four times as large as the one before; no fit of the best round.
+    assert fitted == [2, 8, 32, 40][: len(fitted)] and grown.rounds < fitted[-1]
+    again = classifier(params, grown.rounds).fit(learnt)
+    one, other = (
+        [r[0] for r in training.with_probability(m, held_out).orderBy("price_delta_6h")
+         .select("probability").collect()]
+        for m in (grown.model, again)
+    )
+    assert one == pytest.approx(other)
+    assert grown.model.stages[-1].treeWeights == again.stages[-1].treeWeights
+    rows.unpersist()
+
+
 def test_training_learns_and_scores(spark, seen, now):
     frame = _random_history(1500, 3)
     # Prices alternate high and low by day, so the next day's move is learnable.
