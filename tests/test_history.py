@@ -592,6 +592,47 @@ def test_a_stage_is_not_fitted_again_to_be_cut(spark, monkeypatch):
     rows.unpersist()
 
 
+@pytest.mark.parametrize("best", [20, 66, 126, 134, 187, 400])
+def test_a_search_grows_few_rounds_again(monkeypatch, best):
+    """Best rounds as seen on 320,000 rows; the patience is part of what has to be grown."""
+    grown = []
+
+    class Ensemble:
+        stages = ()
+
+        def __init__(self, rounds):
+            self.rounds, self.stages = rounds, [self]
+
+        def fit(self, rows):
+            grown.append(self.rounds)
+            return self
+
+        def evaluateEachIteration(self, rows):
+            return [abs(i - best) + 1.0 for i in range(1, self.rounds + 1)]
+
+    class Rows:
+        def select(self, *columns):
+            return self
+
+    monkeypatch.setattr(training, "classifier", lambda params, rounds, bins: Ensemble(rounds))
+    monkeypatch.setattr(training, "first_rounds", lambda model, rounds: Ensemble(rounds))
+    monkeypatch.setattr(training, "with_probability", lambda model, rows: model)
+    monkeypatch.setattr(training, "_auc", lambda model: 0.5)
+    monkeypatch.setattr(training.F, "col", lambda name: _Label())
+    out = training.grow(Rows(), Rows(), {})
+    needed = min(best + training.PATIENCE, training.ROUNDS)
+    assert (out.rounds, out.grown, out.model.rounds) == (best, needed, best)
+    assert sum(grown) <= max(256, 2 * needed)
+
+
+class _Label:
+    def cast(self, kind):
+        return self
+
+    def alias(self, name):
+        return self
+
+
 def test_training_learns_and_scores(spark, seen, now):
     frame = _random_history(1500, 3)
     # Prices alternate high and low by day, so the next day's move is learnable.
