@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareloom.functions import times
-from fareloom.operators import asof, dashboard, evaluate, features, history, ordered, training
+from fareloom.operators import (
+    asof, boosting, dashboard, evaluate, features, history, ordered, training,
+)
 from fareloom.operators.joins import join_groups
 from fareloom.sources import tables
 
@@ -633,6 +635,100 @@ class _Label:
         return self
 
 
+def _labelled_frame(seed, n):
+    rng = np.random.default_rng(seed)
+    delta = np.where(rng.random(n) < 0.2, 0.0, rng.normal(size=n) / 10)
+    days, carrier = rng.random(n) * 30, rng.choice(list("abcdef"), n)
+    noise = rng.normal(size=n) * 6 + np.where(carrier == "c", 4, 0)
+    return pd.DataFrame({
+        "days_to_departure": days, "hour_of_day": rng.integers(0, 24, n),
+        "day_of_week": rng.integers(0, 7, n), "seats_left": rng.integers(0, 40, n),
+        "price_delta_6h": delta, "price_delta_12h": rng.normal(size=n),
+        "price_delta_24h": np.zeros(n), "carrier": carrier,
+        "route": rng.choice(["x", "y", "z"], n),
+        "will_rise": (days + 60 * delta + noise > 15).astype(int),
+    })
+
+
+@pytest.mark.parametrize("n", [1500, 24000])  # bins from all rows, and from a sample of them
+def test_candidates_side_by_side_have_the_trees_of_spark(spark, n):
+    rows = spark.createDataFrame(_labelled_frame(11, n)).repartition(3).persist()
+    learnt, held_out = rows.filter("hour_of_day < 18"), rows.filter("hour_of_day >= 18")
+    grid = [
+        {"maxDepth": 4, "stepSize": 0.3, "minInstancesPerNode": 5},
+        {"maxDepth": 2, "stepSize": 0.5, "minInstancesPerNode": 20},
+    ]
+    found = training.candidates(learnt, held_out, grid, 10, 4)
+    for params, own in zip(grid, found):
+        one = training.grow(learnt, held_out, params, 10, 4, stage=10)
+        assert (own.params, own.rounds, own.grown) == (params, one.rounds, one.grown)
+        assert own.loss == pytest.approx(one.loss) and own.auc == pytest.approx(one.auc)
+    params, own = grid[0], training.fitted(learnt, grid[0], 6)
+    spark_made = training.classifier(params, 6).fit(learnt)
+    a, b = own.stages[-1], spark_made.stages[-1]
+    assert a.treeWeights == b.treeWeights and a.numFeatures == b.numFeatures
+    assert a.featureImportances.toArray() == pytest.approx(b.featureImportances.toArray())
+    for x, y in zip(a.trees, b.trees):
+        assert (x.depth, x.numNodes) == (y.depth, y.numNodes)
+    p, q = (
+        [r[0] for r in training.with_probability(m, held_out).orderBy("price_delta_12h")
+         .select("probability").collect()]
+        for m in (own, spark_made)
+    )
+    assert p == pytest.approx(q)
+    rows.unpersist()
+
+
+def test_a_block_draws_the_numbers_of_spark(spark):
+    numbers = [r[0] for r in spark.range(0, 700, 1, 1).select(F.rand(-7)).collect()]
+    assert boosting.uniforms(-7, 0, 700).tolist() == numbers
+    assert boosting.uniforms(-7, 400, 123).tolist() == numbers[400:523]
+
+
+def test_rows_are_counted_alike_however_they_are_dealt(spark, monkeypatch):
+    rows = spark.createDataFrame(_labelled_frame(13, 1200)).repartition(3).persist()
+    learnt, held_out = rows.filter("hour_of_day < 18"), rows.filter("hour_of_day >= 18")
+    grid = [{"maxDepth": 3, "stepSize": 0.3, "minInstancesPerNode": 5}]
+    plain = training.candidates(learnt, held_out, grid, 9, 9)[0]
+    # Many blocks and tasks, added on the way; the trees known to the blocks at once, or late.
+    for block, renewed, cut in ((64, 1, 2), (128, 100, 20)):
+        monkeypatch.setattr(boosting, "BLOCK", block)
+        monkeypatch.setattr(boosting, "BLOCKS_OF_A_TASK", 1)
+        monkeypatch.setattr(boosting, "COLLECTED", 2)
+        monkeypatch.setattr(boosting, "RENEWED", renewed)
+        monkeypatch.setattr(boosting, "CUT", cut)
+        other = training.candidates(learnt, held_out, grid, 9, 9)[0]
+        assert (other.rounds, other.grown) == (plain.rounds, plain.grown)
+        assert other.loss == pytest.approx(plain.loss) and other.auc == pytest.approx(plain.auc)
+    rows.unpersist()
+
+
+def test_a_search_has_one_job_a_level_for_all_candidates(spark):
+    rows = spark.createDataFrame(_labelled_frame(17, 900)).repartition(2).persist()
+    learnt, held_out = rows.filter("hour_of_day < 18"), rows.filter("hour_of_day >= 18")
+    grid = [{"maxDepth": 2, "stepSize": s, "minInstancesPerNode": 20} for s in (0.9, 0.8, 0.7)]
+    spark.sparkContext.setJobGroup("search", "search")
+    try:
+        found = training.candidates(learnt, held_out, grid, 600, 3)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("search"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Rounds beyond the patience are not grown; 60 jobs bin, deal and judge.
+    assert jobs <= 2 * max(t.grown + 1 for t in found) + 60
+    rows.unpersist()
+
+
+def test_labels_and_parameters_that_cannot_be_learnt_are_refused(spark):
+    frame = _labelled_frame(19, 200)
+    with pytest.raises(ValueError, match="minInfoGain"):
+        training._ensemble({"minInfoGain": 0.1})
+    rows = spark.createDataFrame(frame.assign(will_rise=2))
+    with pytest.raises(Exception, match="labels must be 0 or 1"):
+        training.fitted(rows, training.SEARCH_GRID[0], 1)
+    with pytest.raises(ValueError, match="no rows"):
+        training.fitted(rows.limit(0), training.SEARCH_GRID[0], 1)
+
+
 def test_training_learns_and_scores(spark, seen, now):
     frame = _random_history(1500, 3)
     # Prices alternate high and low by day, so the next day's move is learnable.
